@@ -133,3 +133,28 @@ def drop_values(df: DataFrame, col: str, values: list) -> DataFrame:
     for v in values:
         df = df.filter(not_equal_keep_null(col, v))
     return df
+
+
+def extract_brand_by_join(df: DataFrame, brands_df: DataFrame, col: str = "mk",
+                          brand: str = "brand", pos: str = "pos") -> DataFrame:
+    """First-match brand extraction as an equi-join, for long brand lists.
+
+    For every distinct make, the substrings with the lengths that occur in
+    the brand list are generated (one row per start position and length),
+    joined to the brand table on equality, and the hit with the smallest list
+    position wins (``min_by``); makes with no hit keep their value.  Work is
+    proportional to make length x distinct brand lengths, never makes x
+    brands."""
+    # distinct brand lengths: at most the longest brand name, a handful of numbers
+    lengths = sorted(r[0] for r in brands_df.select(F.length(brand)).distinct().collect())
+    makes = df.select(col_of(col).alias("_make")).distinct().filter(F.col("_make").isNotNull())
+    subs = (makes.withColumn("_len", F.explode(F.array(*[F.lit(n) for n in lengths])))
+                 .withColumn("_start", F.explode(F.sequence(F.lit(1), F.greatest(
+                     F.length("_make") - F.col("_len") + 1, F.lit(0)))))
+                 .filter(F.col("_start") >= 1)
+                 .select("_make", F.expr("substring(_make, _start, _len)").alias("_sub")))
+    hits = subs.join(brands_df.select(F.col(brand).alias("_sub"), F.col(pos).alias("_pos")), "_sub")
+    best = hits.groupBy("_make").agg(F.min_by("_sub", "_pos").alias("_brand"))
+    j = df.join(best, col_of(col) == F.col("_make"), "left")
+    return j.select(*[F.coalesce(F.col("_brand"), col_of(c)).alias(c) if c == col else col_of(c)
+                      for c in df.columns])

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ecoframe.functions.expressions import abs_diff, col_of
 from ecoframe.operators.quantiles import exact_quantiles
 from ecoframe.schema import IQR_FACTOR, OUTLIER_GROUP, OUTLIER_ORDER
-from ecoframe.session import scratch_path
+from ecoframe.session import materialize  # noqa: F401  (re-exported)
 
 
 def group_mean(df: DataFrame, target: str, group: list = OUTLIER_GROUP) -> DataFrame:
@@ -69,15 +69,6 @@ def outlier_pass(df: DataFrame, target: str, group: list = OUTLIER_GROUP,
     return kept, seuil
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared work folder and read back: cuts the lineage, and
-    survives executor loss (unlike a local checkpoint)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def outlier_chain(df: DataFrame, targets: list = OUTLIER_ORDER, group: list = OUTLIER_GROUP,
                   factor: float = IQR_FACTOR, cut: bool = True):
     """Sequential passes over ``targets``; returns (survivors, [PassReport])."""

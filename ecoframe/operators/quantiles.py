@@ -90,7 +90,7 @@ def exact_quantiles(df: DataFrame, col, probs: list, max_fetch: int = 200_000,
     st = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     n = int(st["n"])
     if n == 0:
-        return [float("nan")] * len(probs)
+        return [None] * len(probs)
     ranks = []
     for p in probs:
         pos = p * (n - 1)

@@ -11,11 +11,13 @@ instead of recomputing six passes.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ecoframe.operators import clean, outliers
 from ecoframe.schema import OUTLIER_GROUP, OUTLIER_ORDER, PROCESSED_COLUMNS, RAW_COLUMNS, rules
+from ecoframe.session import materialize
 from ecoframe.sources.fixtures import vehicles_raw
 
 _CHAIN_MEMO: dict = {}
@@ -50,13 +52,30 @@ def rare(spark: SparkSession, sf: str, rule: str = "v2") -> DataFrame:
     return clean.keep_frequent(brand(spark, sf, rule), "mk", r.rare_min)
 
 
+def cleaned(spark: SparkSession, sf: str, rule: str = "v2") -> DataFrame:
+    """The ``rare`` stage written once to the work folder (stage boundary):
+    every consumer (outlier passes, statistics) reads the written table."""
+    key = ("cleaned", spark.sparkContext.applicationId, sf, rule)
+    hit = _CHAIN_MEMO.get(key)
+    if hit is None:
+        r = rules(rule)
+        # the fuel stage is read twice below (brand dictionary, then the brand
+        # frequency table): keep it for the duration of this write only
+        f = fuel(spark, sf, rule).persist(StorageLevel.MEMORY_AND_DISK)
+        staged = clean.keep_frequent(clean.clean_brand(f, "mk", rule), "mk", r.rare_min)
+        hit = materialize(staged, f"cleaned-{rule}")
+        f.unpersist()
+        _CHAIN_MEMO[key] = hit
+    return hit
+
+
 def chain(spark: SparkSession, sf: str, rule: str = "v2"):
     """(survivors of the six passes, pass reports), computed once per session."""
-    key = (spark.sparkContext.applicationId, sf, rule)
+    key = ("chain", spark.sparkContext.applicationId, sf, rule)
     hit = _CHAIN_MEMO.get(key)
     if hit is not None:
         return hit
-    out, reports = outliers.outlier_chain(rare(spark, sf, rule), OUTLIER_ORDER, OUTLIER_GROUP)
+    out, reports = outliers.outlier_chain(cleaned(spark, sf, rule), OUTLIER_ORDER, OUTLIER_GROUP)
     _CHAIN_MEMO[key] = (out, reports)
     return out, reports
 
