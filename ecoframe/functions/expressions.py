@@ -66,13 +66,20 @@ def abs_diff(a, b) -> Column:
 
 
 def format_size(c) -> Column:
-    """Byte count as text: B below 1 KiB, then KB, MB, GB with two decimals."""
+    """Byte count as text: B below 1 KiB, then KB, MB, GB with two decimals.
+
+    Python formats half-way cases to even (1152 B -> "1.12 KB") while Java's
+    ``%.2f`` rounds them up, so the value is rounded half-even (``bround``)
+    before formatting."""
     x = col_of(c).cast("double")
     kib, mib, gib = 1024.0, 1024.0 ** 2, 1024.0 ** 3
-    return (F.when(x < kib, F.format_string("%.2f B", x))
-            .when(x < mib, F.format_string("%.2f KB", x / F.lit(kib)))
-            .when(x < gib, F.format_string("%.2f MB", x / F.lit(mib)))
-            .otherwise(F.format_string("%.2f GB", x / F.lit(gib))))
+
+    def fmt(v, unit):
+        return F.format_string(f"%.2f {unit}", F.bround(v, 2))
+    return (F.when(x < kib, fmt(x, "B"))
+            .when(x < mib, fmt(x / F.lit(kib), "KB"))
+            .when(x < gib, fmt(x / F.lit(mib), "MB"))
+            .otherwise(fmt(x / F.lit(gib), "GB")))
 
 
 def progress_percent(done, total) -> Column:

@@ -479,3 +479,284 @@ def q_rf_score(spark, sf):
     req = ok.select("request_id", *[F.col(k).cast("double").alias(v) for k, v in M.REQUEST_TO_INTERNAL.items()
                                     if v not in ("ft", "mk")], F.col("fuel_type").alias("ft"), F.col("Mk").alias("mk"))
     return loaded.transform(req).select("request_id", F.col("prediction"))
+
+
+# =====================================================================================
+# 2.8 / 2.9: run history (orders as runs), metric history (events as samples)
+# =====================================================================================
+
+from ecoframe.operators import monitor as MO  # noqa: E402
+from ecoframe.sources.fixtures import read_table  # noqa: E402
+
+RUNS_SQL = ("SELECT o_orderkey AS run_id, o_orderpriority AS run_name, o_orderdate AS start_time, "
+            "o_totalprice AS rmse, o_orderstatus AS status FROM orders")
+SAMPLES_SQL = "SELECT event_id, event_type AS metric, ts, value, props FROM events"
+
+
+def runs(spark, sf):
+    return read_table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("run_id"), F.col("o_orderpriority").alias("run_name"),
+        F.col("o_orderdate").alias("start_time"), F.col("o_totalprice").alias("rmse"),
+        F.col("o_orderstatus").alias("status"))
+
+
+def samples(spark, sf):
+    return read_table(spark, sf, "events").select(
+        "event_id", F.col("event_type").alias("metric"), "ts", "value", "props")
+
+
+def runs_sql(select: str) -> str:
+    return f"WITH runs AS ({RUNS_SQL}) {select}"
+
+
+def samples_sql(select: str) -> str:
+    return f"WITH samples AS ({SAMPLES_SQL}) {select}"
+
+
+_VIEW = {"run_id": "Run ID", "rmse": "RMSE", "start_time": "Date", "run_name": "Model name"}
+
+
+@register("runs_view", runs_sql('SELECT run_id AS "Run ID", rmse AS "RMSE", start_time AS "Date", '
+                                'run_name AS "Model name" FROM runs'))
+def q_runs_view(spark, sf):
+    return MO.runs_view(runs(spark, sf), _VIEW)
+
+
+@register("runs_sorted", runs_sql("SELECT * FROM runs ORDER BY start_time DESC, run_id DESC"))
+def q_runs_sorted(spark, sf):
+    return MO.runs_sorted(runs(spark, sf))
+
+
+@register("runs_latest", runs_sql("SELECT * FROM runs ORDER BY start_time DESC, run_id DESC LIMIT 1"))
+def q_runs_latest(spark, sf):
+    return MO.latest_run(runs(spark, sf))
+
+
+@register("runs_latest_per_name", runs_sql(
+    "SELECT run_name, run_id, start_time, rmse, status FROM (SELECT *, row_number() OVER (PARTITION BY run_name "
+    "ORDER BY start_time DESC, run_id DESC) AS rn FROM runs) WHERE rn = 1"))
+def q_runs_latest_per_name(spark, sf):
+    return MO.latest_per_name(runs(spark, sf))
+
+
+@register("run_versions", runs_sql(
+    "SELECT *, row_number() OVER (PARTITION BY run_name ORDER BY start_time, run_id) AS version FROM runs"))
+def q_run_versions(spark, sf):
+    return MO.run_versions(runs(spark, sf))
+
+
+@register("manifest_latest", runs_sql(
+    "SELECT artifact, path, created_at FROM (SELECT run_name AS artifact, 'runs/' || CAST(run_id AS VARCHAR) AS path, "
+    "start_time AS created_at, row_number() OVER (PARTITION BY run_name ORDER BY start_time DESC, "
+    "'runs/' || CAST(run_id AS VARCHAR) DESC) AS rn FROM runs) WHERE rn = 1"))
+def q_manifest_latest(spark, sf):
+    m = runs(spark, sf).select(F.col("run_name").alias("artifact"),
+                               F.concat(F.lit("runs/"), F.col("run_id").cast("string")).alias("path"),
+                               F.col("start_time").alias("created_at"))
+    return MO.latest_artifacts(m)
+
+
+@register("metric_latest", samples_sql(
+    "SELECT metric, arg_max(value, (ts, event_id)) AS latest_value, max(ts) AS latest_ts "
+    "FROM samples GROUP BY metric"))
+def q_metric_latest(spark, sf):
+    return MO.metric_latest(samples(spark, sf), tie="event_id")
+
+
+_CUT_TS = "2024-01-15 00:00:00"
+
+
+@register("metric_dedup", samples_sql(
+    f"SELECT metric, value, ts, event_id, props FROM (SELECT *, row_number() OVER (PARTITION BY metric, value "
+    f"ORDER BY ts, event_id) AS rn FROM samples WHERE ts >= TIMESTAMP '{_CUT_TS}' AND value <> 0) b "
+    f"WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM samples h WHERE h.ts < TIMESTAMP '{_CUT_TS}' AND h.value <> 0 "
+    f"AND h.metric = b.metric AND h.value = b.value)"))
+def q_metric_dedup(spark, sf):
+    s = samples(spark, sf)
+    history = MO.first_per_value(s.filter(F.col("ts") < F.lit(_CUT_TS).cast("timestamp")), tie="event_id")
+    batch = s.filter(F.col("ts") >= F.lit(_CUT_TS).cast("timestamp"))
+    return MO.append_new_values(history, batch, tie="event_id")
+
+
+@register("metric_series", samples_sql(
+    "SELECT metric, date_trunc('day', ts) AS bucket, count(*) AS n_samples, avg(value) AS mean_value, "
+    "arg_max(value, ts) AS last_value FROM samples GROUP BY metric, date_trunc('day', ts)"))
+def q_metric_series(spark, sf):
+    return MO.metric_series(samples(spark, sf))
+
+
+@register("metric_times", samples_sql(
+    "SELECT event_id, epoch_us(ts) / 1000000.0 AS epoch_seconds, "
+    "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS iso, "
+    "make_timestamp(epoch_us(ts)) = ts AS roundtrip_ok FROM samples"))
+def q_metric_times(spark, sf):
+    """Epoch seconds (fractional), ISO text, and the round trip back to a
+    timestamp (session time zone UTC)."""
+    s = samples(spark, sf)
+    ts = F.col("ts").cast("timestamp")
+    epoch = F.unix_micros(ts) / F.lit(1_000_000.0)
+    iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    back = F.timestamp_micros(F.round(epoch * F.lit(1_000_000.0)).cast("long"))
+    return s.select("event_id", epoch.alias("epoch_seconds"), iso.alias("iso"), (back == ts).alias("roundtrip_ok"))
+
+
+@register("metric_parse", samples_sql(
+    "SELECT event_id, metric, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM samples"))
+def q_metric_parse(spark, sf):
+    s = samples(spark, sf)
+    return s.select("event_id", "metric", F.get_json_object("props", "$.k").cast("double").alias("k"))
+
+
+# =====================================================================================
+# 2.1 Sources and sinks
+# =====================================================================================
+
+from ecoframe.functions.expressions import format_size, progress_percent  # noqa: E402
+from ecoframe.operators.windows import running_sum  # noqa: E402
+from ecoframe.schema import FINAL_TABLES, PAGE_SIZE, TARGET_BRANDS, VEHICLE_SCHEMA, source_schema  # noqa: E402
+from ecoframe.session import scratch_path  # noqa: E402
+from ecoframe.sources import files as FS  # noqa: E402
+from ecoframe.streaming import feeds as ST  # noqa: E402
+
+
+def _years_table(spark, sf):
+    path = scratch_path(spark, "vehicles-by-year")
+    return FS.write_by_year(V.src(spark, sf), path)
+
+
+@register("scan_year", O.stage_sql("src", f"SELECT {RAW} FROM src"))
+def q_scan_year(spark, sf):
+    path = _years_table(spark, sf)
+    return FS.scan_years(spark, path, years=list(FINAL_TABLES)).select(*RAW_COLUMNS)
+
+
+@register("union_years", O.stage_sql("src", f"SELECT {RAW} FROM src"))
+def q_union_years(spark, sf):
+    path = _years_table(spark, sf)
+    years = [r[0] for r in spark.read.parquet(path).select("year").distinct().collect()]
+    return FS.union_tables([FS.scan_years(spark, path, [y]).select(*RAW_COLUMNS) for y in sorted(years)])
+
+
+def _landed_pages(spark, sf):
+    path = scratch_path(spark, "landed-pages")
+    return FS.write_pages(V.src(spark, sf), path, table="year", page_size=PAGE_SIZE)
+
+
+@register("json_pages")
+def q_json_pages(spark, sf):
+    return FS.flatten_pages(FS.read_pages(spark, _landed_pages(spark, sf)))
+
+
+@register("pages_until_gap", samples_sql(
+    "SELECT event_id, metric, ts, value, page FROM (SELECT *, event_id // 1000 AS page FROM samples) pg "
+    "LEFT JOIN (SELECT metric, min(CASE WHEN bad = 1 THEN page WHEN page - coalesce(prev, -1) > 1 "
+    "THEN coalesce(prev, -1) + 1 END) AS stop FROM (SELECT *, lag(page) OVER (PARTITION BY metric ORDER BY page) "
+    "AS prev FROM (SELECT metric, page, max(CASE WHEN json_extract_string(props, '$.k') IS NULL OR value IS NULL "
+    "THEN 1 ELSE 0 END) AS bad FROM (SELECT *, event_id // 1000 AS page FROM samples) GROUP BY metric, page)) "
+    "GROUP BY metric) st USING (metric) WHERE st.stop IS NULL OR pg.page < st.stop"))
+def q_pages_until_gap(spark, sf):
+    s = samples(spark, sf).withColumn("page", F.expr("event_id div 1000"))
+    bad = F.get_json_object("props", "$.k").isNull() | F.col("value").isNull()
+    kept = FS.pages_until_gap(s, "metric", "page", bad, first_page=0)
+    return kept.select("event_id", "metric", "ts", "value", "page")
+
+
+_ORDERS_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@register("export_year_final", "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders "
+                               "WHERE o_orderstatus = 'F'")
+def q_export_year_final(spark, sf):
+    o = read_table(spark, sf, "orders")
+    out = o.filter(F.col("o_orderstatus") == "F").withColumn("year", F.year("o_orderdate").cast("int"))
+    path = FS.write_csv(out, scratch_path(spark, "orders-final-by-year"), partition_by=["year"])
+    back = FS.read_csv(spark, path, schema=o.select(*_ORDERS_COLS).schema)
+    return back.select(*_ORDERS_COLS, F.col("year").cast("int").alias("year"))
+
+
+@register("csv_roundtrip", O.stage_sql("final", f"SELECT {PROC} FROM final"))
+def q_csv_roundtrip(spark, sf):
+    path = FS.write_csv(V.final(spark, sf), scratch_path(spark, "processed-csv"), source_names=True)
+    return FS.read_csv(spark, path, schema=source_schema(PROCESSED_COLUMNS), to_internal=True)
+
+
+@register("rename_strip", O.stage_sql("final", f"SELECT {PROC} FROM final"))
+def q_rename_strip(spark, sf):
+    from ecoframe.operators.clean import rename_to_internal, strip_column_names
+    f = V.final(spark, sf)
+    padded = f.select(*[F.col(c).alias(f" {c} ") for c in f.columns])
+    path = FS.write_csv(padded, scratch_path(spark, "padded-csv"))
+    back = strip_column_names(FS.read_csv(spark, path))
+    types = {fl.name: fl.dataType for fl in VEHICLE_SCHEMA.fields}
+    return rename_to_internal(back).select(*[F.col(c).cast(types[c]).alias(c) for c in PROCESSED_COLUMNS])
+
+
+# =====================================================================================
+# 2.3 / 2.9: scalar helpers, previews
+# =====================================================================================
+
+@register("format_size", "SELECT doc_id, n_chars, CASE WHEN n_chars < 1024 THEN printf('%.2f B', n_chars::DOUBLE) "
+                         "WHEN n_chars < 1048576 THEN printf('%.2f KB', n_chars / 1024.0) "
+                         "WHEN n_chars < 1073741824 THEN printf('%.2f MB', n_chars / 1048576.0) "
+                         "ELSE printf('%.2f GB', n_chars / 1073741824.0) END AS size_text FROM documents")
+def q_format_size(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "n_chars")
+    return d.withColumn("size_text", format_size("n_chars"))
+
+
+@register("progress_pct", "SELECT doc_id, CAST(sum(n_chars) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) AS BIGINT) "
+                          "AS done, CAST(floor(sum(n_chars) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) * 100.0 "
+                          "/ sum(n_chars) OVER ()) AS INTEGER) AS pct FROM documents")
+def q_progress_pct(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "n_chars")
+    total = d.agg(F.sum("n_chars")).first()[0] or 0
+    r = running_sum(d, "doc_id", "n_chars", "done")
+    return r.select("doc_id", F.col("done").cast("long").alias("done"),
+                    progress_percent(F.col("done"), F.lit(total)).alias("pct"))
+
+
+_EXTRACT_SQL = O.stage_sql("src", f"SELECT DISTINCT upper(mk) AS make, "
+                                  f"{O.first_match_sql('upper(mk)', TARGET_BRANDS)} AS brand FROM src")
+
+
+@register("brand_extract", _EXTRACT_SQL)
+def q_brand_extract(spark, sf):
+    from ecoframe.functions.expressions import first_substring_match
+    makes = V.src(spark, sf).select(F.upper("mk").alias("make")).distinct()
+    return makes.withColumn("brand", first_substring_match("make", TARGET_BRANDS))
+
+
+@register("brand_extract_join", _EXTRACT_SQL)
+def q_brand_extract_join(spark, sf):
+    from ecoframe.operators.clean import extract_brand_by_join
+    makes = V.src(spark, sf).select(F.upper("mk").alias("make")).distinct()
+    brands = spark.createDataFrame([(b, i) for i, b in enumerate(TARGET_BRANDS)], "brand string, pos int")
+    return extract_brand_by_join(makes.withColumn("brand", F.col("make")), brands, col="brand")
+
+
+@register("preview", split_sql(f"SELECT {PROC}, row_key FROM sp ORDER BY row_key LIMIT 10"))
+def q_preview(spark, sf):
+    return M.split_table(spark, sf).select(*PROCESSED_COLUMNS, "row_key").orderBy("row_key").limit(10)
+
+
+# =====================================================================================
+# 2.10 Streaming
+# =====================================================================================
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf):
+    landing = _landed_pages(spark, sf)
+    sink, ckpt = scratch_path(spark, "stream-vehicles"), scratch_path(spark, "stream-vehicles-ckpt")
+    ST.ingest_pages(spark, landing, sink, ckpt)
+    ST.ingest_pages(spark, landing, sink, ckpt)  # rerun: the checkpoint makes it add nothing
+    return spark.read.parquet(sink)
+
+
+@register("stream_metrics")
+def q_stream_metrics(spark, sf):
+    s = samples(spark, sf)
+    landing = scratch_path(spark, "landed-samples")
+    s.repartitionByRange(8, "ts").write.mode("overwrite").parquet(landing)
+    hist, latest, ckpt = (scratch_path(spark, n) for n in ("metric-history", "metric-latest", "metric-ckpt"))
+    ST.metric_history(spark, landing, s.schema, hist, latest, ckpt, tie="event_id")
+    return spark.read.parquet(hist)

@@ -176,3 +176,9 @@ def require_columns(df, required) -> None:
     missing = missing_columns(df.columns, required)
     if missing:
         raise ValueError(f"missing required columns: {missing}")
+
+
+def source_schema(cols: list = PROCESSED_COLUMNS) -> T.StructType:
+    """Vehicle schema with source column names, in ``cols`` order."""
+    by_name = {f.name: f for f in VEHICLE_SCHEMA.fields}
+    return T.StructType([T.StructField(INTERNAL_TO_SOURCE[c], by_name[c].dataType) for c in cols])
