@@ -368,11 +368,12 @@ def q_profile(spark, sf):
 # =====================================================================================
 
 def _knn_sql():
+    # brute force with a streaming top-k aggregate per query row (min_by with n)
     d2 = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in DASHBOARD_FEATURES)
     return split_sql(
-        "SELECT row_key, avg(y) AS prediction FROM (SELECT a._qi, a.row_key, b.ewltp_g_km AS y, "
-        f"row_number() OVER (PARTITION BY a._qi ORDER BY sqrt({d2}), b.row_key) AS rn "
-        "FROM (SELECT row_number() OVER () AS _qi, * FROM te) a, tr b) WHERE rn <= 5 GROUP BY _qi, row_key")
+        f"SELECT row_key, list_avg(min_by(y, (d, tk), 5)) AS prediction FROM (SELECT a._qi, a.row_key, "
+        f"b.ewltp_g_km AS y, sqrt({d2}) AS d, b.row_key AS tk FROM (SELECT row_number() OVER () AS _qi, * "
+        f"FROM te) a, tr b) GROUP BY _qi, row_key")
 
 
 @register("knn", _knn_sql())
@@ -579,10 +580,11 @@ def q_metric_dedup(spark, sf):
 
 
 @register("metric_series", samples_sql(
-    "SELECT metric, date_trunc('day', ts) AS bucket, count(*) AS n_samples, avg(value) AS mean_value, "
+    "SELECT metric, date_trunc('day', ts) AS bucket, count(*) AS n_samples, round(avg(value), 6) AS mean_value, "
     "arg_max(value, ts) AS last_value FROM samples GROUP BY metric, date_trunc('day', ts)"))
 def q_metric_series(spark, sf):
-    return MO.metric_series(samples(spark, sf))
+    # the mean of non-dyadic values depends on summation order: six decimals
+    return MO.metric_series(samples(spark, sf)).withColumn("mean_value", F.round("mean_value", 6))
 
 
 @register("metric_times", samples_sql(
