@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ecoframe.functions.expressions import col_of
 from ecoframe.operators.evaluate import regression_metrics
-from ecoframe.operators.features import onehot_vector_model
+from ecoframe.operators.features import category_list, onehot_vector_model, onehot_wide
 from ecoframe.operators.knn import knn_regress
 
 # Final forest of the reference: 100 trees, no bootstrap, 75 % of features per
@@ -95,9 +95,16 @@ def compare_models(train: DataFrame, test: DataFrame, label: str, feature_sets:
     for fs_name, (numeric, categorical) in feature_sets.items():
         for m in models:
             if m == "knn":
-                cols = list(numeric)
-                p = knn_regress(train, test, cols, label, key, key)
-                pred = test.select(col_of(key), col_of(label).alias("y_true")).join(p, key) \
+                # unscaled numerics plus 0/1 flags of the categorical columns
+                tr, te, cols = train, test, list(numeric)
+                for c in categorical:
+                    cats = category_list(train, c)
+                    tr = onehot_wide(tr, c, c, cats)
+                    te = onehot_wide(te, c, c, cats)
+                    cols += [f"{c}_{v}" for v in cats]
+                p = knn_regress(tr, te, cols, label, key, key)
+                # equal keys are equal rows with one prediction: one row per key before joining
+                pred = test.select(col_of(key), col_of(label).alias("y_true")).join(p.distinct(), key) \
                            .withColumnRenamed("prediction", "y_pred")
             else:
                 mdl = fit_model(train, m, numeric, categorical, label, scale=(m != "knn"),
