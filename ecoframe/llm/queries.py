@@ -7,21 +7,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecoframe.llm import exact_dedup
+from ecoframe.llm import exact_dedup, html_extract, warc
+from ecoframe.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(_table(spark, sf_dir, "pages"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write_archive(warc.plan_records(_table(spark, sf_dir, "pages")), path)
+    return (warc.read_archive(spark, path, payloads=False)
+            .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extract": op1_html_extract,
+    "op4_warc": op4_warc,
     "op9_exact_dedup": op9_exact_dedup,
 }
 
 ORACLE: dict[str, str] = {
+    "op4_warc": warc.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
 }
