@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecoframe.llm import exact_dedup, html_extract, warc
+from ecoframe.llm import exact_dedup, html_extract, quality, toxicity, warc
 from ecoframe.session import scratch_path
 
 
@@ -19,6 +19,11 @@ def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(_table(spark, sf_dir, "pages"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(warc.plan_records(_table(spark, sf_dir, "pages")), path)
@@ -30,10 +35,17 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(_table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
+    "op2_quality": op2_quality,
     "op4_warc": op4_warc,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE: dict[str, str] = {
