@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecoframe.llm import exact_dedup, html_extract, mixing, quality, token_counts, toxicity, warc
+from ecoframe.llm import decontaminate, exact_dedup, html_extract, mixing, quality, token_counts, toxicity, warc
 from ecoframe.session import scratch_path
 
 
@@ -31,6 +31,10 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return mixing.mix(docs).drop("text", "n_chars")
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_quality": op2_quality,
     "op4_warc": op4_warc,
+    "op5_decontaminate": op5_decontaminate,
     "op6_mixing": op6_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
