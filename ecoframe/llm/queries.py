@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecoframe.llm import decontaminate, exact_dedup, html_extract, mixing, quality, token_counts, toxicity, warc
+from ecoframe.llm import decontaminate, exact_dedup, html_extract, mixing, near_dedup, quality, token_counts, toxicity, warc
 from ecoframe.session import scratch_path
 
 
@@ -24,6 +24,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.link_documents(_table(spark, sf_dir, "documents"), width=2)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_archive(warc.plan_records(_table(spark, sf_dir, "pages")), path)
@@ -56,6 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_quality": op2_quality,
+    "op3_near_dedup": op3_near_dedup,
     "op4_warc": op4_warc,
     "op5_decontaminate": op5_decontaminate,
     "op6_mixing": op6_mixing,
