@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecoframe.llm import decontaminate, exact_dedup, html_extract, mixing, near_dedup, quality, token_counts, toxicity, warc
+from ecoframe.llm import decontaminate, exact_dedup, html_extract, mixing, near_dedup, quality, repeats, token_counts, toxicity, warc
 from ecoframe.session import scratch_path
 
 
@@ -44,6 +44,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).drop("text", "n_chars")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_decontaminate": op5_decontaminate,
     "op6_mixing": op6_mixing,
+    "op7_repeats": op7_repeats,
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
