@@ -26,7 +26,7 @@ def _hang(edges: DataFrame, larger_only: bool) -> DataFrame:
 
 
 def components(links: DataFrame, stages: Stages, name: str) -> DataFrame:
-    """(id, component) of every node of ``links`` (columns a, b): the smallest node it can reach.
+    """(id, component) of every node of ``links`` (columns a, b): the smallest node it can reach.  Written as ``name``.
 
     Ends when a round changes nothing, in about log2 of the longest path rounds."""
     edges = stages.write(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -39,5 +39,7 @@ def components(links: DataFrame, stages: Stages, name: str) -> DataFrame:
         before, at = state, at + 1
         edges = stages.write(_hang(_hang(edges, True), False), f"{name}-{at}")
         stages.remove(f"{name}-{at - 1}")
-    return (edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
-            .union(edges.select("v", "v").distinct()))
+    found = stages.write(edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
+                         .union(edges.select("v", "v").distinct()), name)
+    stages.remove(f"{name}-{at}")
+    return found

@@ -221,13 +221,13 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     repeated = (several.join(heads.select("digest", "n_shingles", F.col("id").alias("b")), ["digest", "n_shingles"])
                 .select(F.col("id").alias("a"), "b"))
     links = stages.write(links.union(repeated), "links")
-    parts = stages.write(components(links, stages, "parts"), "parts")
+    parts = components(links, stages, "parts")
     more = stages.write(rest_of_regions(heads, parts, pairs, stages, trees, depth, min_depth, percent), "more-pairs")
     if more.take(1):
         further = confirm(more, docs, id_col, text_col, width, percent)
         # Found components stand for the links inside them.
-        parts = stages.write(components(
-            parts.select(F.col("id").alias("a"), F.col("component").alias("b")).union(further), stages, "all-parts"), "all")
+        parts = components(parts.select(F.col("id").alias("a"), F.col("component").alias("b")).union(further), stages, "all-parts")
+    stages.remove("neighbours", "pairs", "links", "labelled", "more-pairs")
     classes = (heads.select("digest", "n_shingles", "id").join(parts, "id", "left")
                .select("digest", "n_shingles", F.coalesce("component", "id").alias("component")))
     rows = salted_join(sketches.select("id", "n_shingles", "digest"), classes, ["digest", "n_shingles"], "id", "left")
