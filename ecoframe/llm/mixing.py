@@ -24,9 +24,12 @@ from __future__ import annotations
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ecoframe.llm import shingles
+
 OTHER = "other"
 ADDED = ("topic", "tokens", "cell_weight", "keep_probability", "sampled")
 
@@ -39,10 +42,14 @@ TARGETS: dict[str, dict[str, float]] = {
 
 
 def count_tokens(text: Column) -> Column:
-    """Words between ASCII white space."""
-    trimmed = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+", " "))
-    return F.when(trimmed == "", F.lit(0)).otherwise(
-        F.length(trimmed) - F.length(F.translate(trimmed, " ", "")) + 1).cast("long")
+    """Words between ASCII white space, counted on the bytes of many texts at once."""
+
+    def count(texts: pa.Array) -> pa.Array:
+        raw = shingles.as_bytes(texts)
+        parts = [shingles.word_counts(raw[a:b]) for a, b in shingles.chunks(raw)]
+        return pa.array(np.concatenate(parts) if parts else [], pa.int64())
+
+    return F.arrow_udf(count, "long")(text.cast("string"))
 
 
 def length_topic(tokens: Column) -> Column:
@@ -85,7 +92,7 @@ def fit_cells(cells: list[dict], targets: dict[str, dict[str, float]], token_bud
     wanted = []
     for axis, (t, v) in enumerate(zip(targets.values(), values, strict=True)):
         have = mass.sum(axis=tuple(a for a in range(mass.ndim) if a != axis))
-        want = np.array([float(t.get(x, 0.0)) for x in v])
+        want = np.array([float(t.get(x, 0.0)) for x in v]) * (have > 0)
         free = 0.0 if OTHER in t or not total else float(have[-1] / total)
         share = want / want.sum() * (1 - free) if want.sum() else want
         share[-1] = share[-1] if OTHER in t else free
@@ -120,21 +127,21 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_
     key of ``targets`` names a column of the input."""
     targets = targets or TARGETS
     carried = [c for c in docs.columns if c not in ADDED or c == topic]
-    tokens = count_tokens(docs[text_col])
-    keys = {n: docs[topic] if n == "topic" and topic else length_topic(tokens) if n == "topic" else docs[n] for n in targets}
-    cell = [_category(keys[n], targets[n]).alias(f"_{n}") for n in targets]
-    cells = (docs.select(*cell, tokens.alias("tokens")).groupBy(*[f"_{n}" for n in targets])
-             .agg(F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("tokens")).collect())  # bounded by the targets
-    fitted = fit_cells([{n: r[f"_{n}"] for n in targets} | {"docs": r["docs"], "tokens": r["tokens"]} for r in cells], targets)
+    counted = docs.select(F.struct(*[docs[c] for c in carried]).alias("_row"), count_tokens(docs[text_col]).alias("_tokens"),
+                          chance_of(docs[id_col], seed).alias("_chance"), *[docs[n].alias(f"_from_{n}") for n in targets if n != "topic"],
+                          *([docs[topic].cast("string").alias("_topic")] if topic else []))
+    value = F.col("_topic") if topic else length_topic(F.col("_tokens"))
+    cell = [_category(value if n == "topic" else F.col(f"_from_{n}"), targets[n]).alias(f"_{n}_cell") for n in targets]
+    keys = [f"_{n}_cell" for n in targets]
+    cells = (counted.select(*cell, "_tokens").groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("docs"), F.sum("_tokens").alias("tokens")).collect())  # bounded by the targets
+    fitted = fit_cells([{n: r[f"_{n}_cell"] for n in targets} | {"docs": r["docs"], "tokens": r["tokens"]} for r in cells], targets)
     if token_budget is not None:
         fitted = fit_cells([{k: c[k] for k in (*targets, "docs", "tokens")} for c in fitted], targets, token_budget)
     spark = docs.sparkSession
-    schema = ", ".join(f"`_{n}` string" for n in targets) + ", cell_weight double, keep_probability double"
+    schema = ", ".join(f"`{k}` string" for k in keys) + ", cell_weight double, keep_probability double"
     table = spark.createDataFrame([(*[c[n] for n in targets], c["cell_weight"], c["keep_probability"]) for c in fitted], schema)
-    rows = docs.select(F.struct(*[docs[c] for c in carried]).alias("_row"), *cell, tokens.alias("_tokens"),
-                       chance_of(docs[id_col], seed).alias("_chance"),
-                       (docs[topic].cast("string") if topic else length_topic(tokens)).alias("_topic_value"))
-    joined = rows.join(F.broadcast(table), [f"_{n}" for n in targets])
-    own = {"topic": F.col("_topic_value"), "tokens": F.col("_tokens"), "cell_weight": F.col("cell_weight"),
+    joined = counted.select("*", *cell, value.alias("_value")).join(F.broadcast(table), keys)
+    own = {"topic": F.col("_value"), "tokens": F.col("_tokens"), "cell_weight": F.col("cell_weight"),
            "keep_probability": F.col("keep_probability"), "sampled": F.col("_chance") < F.col("keep_probability")}
     return joined.select("_row.*", *[v.alias(k) for k, v in own.items() if k not in carried])

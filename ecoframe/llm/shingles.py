@@ -67,6 +67,15 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(starts, limits), prepend=0)
 
 
+def word_counts(texts: list[bytes]) -> np.ndarray:
+    """Number of words of each text."""
+    raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    blank = _BLANK[raw]
+    starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+    limits = np.cumsum([len(t) + 1 for t in texts])
+    return np.diff(np.searchsorted(starts, limits), prepend=0) + np.array([len(t) > 0 and not _BLANK[t[0]] for t in texts[:1]] + [0] * (len(texts) - 1))
+
+
 def shingle_sets(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
     """(different shingle hashes, sorted within each text, text after text; size of each set)."""
     words, counts = word_hashes(texts)
