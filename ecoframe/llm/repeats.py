@@ -197,22 +197,28 @@ def maximal_repeats(left: list[bytes], right: list[bytes], length: int) -> Itera
                         yield before, depth, group
 
 
-def covered(left: list[bytes], right: list[bytes], length: int) -> list[list[tuple[int, int]]]:
-    """Of each occurrence, the stretches (begin, end) round the anchor that repeats cover, joined."""
-    found: list[list[tuple[int, int]]] = [[] for _ in left]
-    for before, after, members in maximal_repeats(left, right, length):
-        for i in members.tolist():
-            found[i].append((-before, after))
-    out = []
-    for spans in found:
-        joined: list[tuple[int, int]] = []
-        for a, b in sorted(spans):
-            if joined and a <= joined[-1][1]:
-                joined[-1] = (joined[-1][0], max(b, joined[-1][1]))
-            else:
-                joined.append((a, b))
-        out.append(joined)
-    return out
+def covered(left: list[bytes], right: list[bytes], length: int) -> list[tuple[int, int]]:
+    """Of each occurrence, the bytes (before the anchor, from it on) that repeats over the anchor cover; (0, 0): none.
+
+    All these repeats hold the anchor, so their union is one stretch, and of a repeat only its
+    longest left extension inside each interval matters: the two neighbours in left order."""
+    n = len(left)
+    order = sorted(range(n), key=right.__getitem__)
+    lcp = _common(_matrix([right[i] for i in order], max(map(len, right))), np.array([len(right[i]) for i in order]))
+    rank = np.empty(n, np.int64)
+    rank[sorted(range(n), key=left.__getitem__)] = np.arange(n)
+    lefts, sizes, order = _matrix(left, max(max(map(len, left)), 1)), np.array([len(x) for x in left]), np.array(order)
+    before, after = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    for first, last, depth in lcp_intervals(lcp):
+        members = order[first:last + 1]
+        members = members[np.argsort(rank[members])]
+        lcs = _common(lefts[members], sizes[members])
+        longest = np.maximum(np.append(lcs, 0), np.append(0, lcs))
+        enough = longest + depth >= length
+        at = members[enough]
+        before[at] = np.maximum(before[at], longest[enough])
+        after[at] = np.maximum(after[at], depth)
+    return list(zip(before.tolist(), after.tolist(), strict=True))
 
 
 _SPANS = "id long, place long, begin int, end int"
@@ -233,7 +239,7 @@ def scan_groups(segments: DataFrame, length: int, by: list[str]) -> DataFrame:
         def finish():
             if len(group) > 1:
                 spans = covered([g[0] for g in group], [g[1] for g in group], length)
-                out.extend((g[2], g[3], a, b) for g, found in zip(group, spans, strict=True) for a, b in found)
+                out.extend((g[2], g[3], -a, b) for g, (a, b) in zip(group, spans, strict=True) if b)
 
         for batch in batches:
             names = batch.schema.names
@@ -379,7 +385,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
             out = []
             for doc, given, packed, found in zip(*[batch.column(c).to_pylist() for c in ("id", "given", "packed", "spans")],
                                                  strict=True):
