@@ -98,6 +98,13 @@ def hash_bucket32(key: Column, seed: int) -> Column:
     return F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
 
 
-def number_key(c, decimals: int = 3) -> Column:
-    """Fixed-decimal text of a number, for building row keys."""
-    return F.format_string(f"%.{decimals}f", col_of(c).cast("double"))
+def lossless_key(cols) -> Column:
+    """One text that differs whenever any of the columns differs.
+
+    Numbers are written in their shortest form that reads back to the same
+    value, nulls as ``\\N``; the escape sign and the separator are escaped."""
+    def part(c):
+        text = F.replace(F.replace(col_of(c).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|"))
+        return F.coalesce(text, F.lit("\\N"))
+
+    return F.concat_ws("|", *[part(c) for c in cols])

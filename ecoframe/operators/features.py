@@ -9,12 +9,10 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ecoframe.functions.expressions import col_of, hash_bucket32, number_key
+from ecoframe.functions.expressions import col_of, hash_bucket32, lossless_key
 from ecoframe.operators.windows import rank_within_groups
 from ecoframe.schema import SPLIT_SEED, TEST_FRACTION
 
-MAX_CATEGORIES = 10_000
-
 
 def categories(df: DataFrame, col: str) -> DataFrame:
     """Distinct non-null values of ``col`` in sorted order."""
@@ -22,19 +20,16 @@ def categories(df: DataFrame, col: str) -> DataFrame:
     return df.select(c).filter(c.isNotNull()).distinct().orderBy(c)
 
 
-def category_list(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list:
-    """Sorted distinct values, fetched with a size check (they become column
-    names, so the driver needs them)."""
-    vals = [r[0] for r in categories(df, col).limit(max_categories + 1).collect()]
-    if len(vals) > max_categories:
-        raise ValueError(f"{col}: more than {max_categories} categories; use the vector encoding")
-    return vals
+def category_list(trained: DataFrame, col: str) -> list:
+    """Sorted values of a trained category table.  They become column names, so
+    the driver needs them; for columns of unknown cardinality use the vector encoding."""
+    return [r[0] for r in categories(trained, col).collect()]
 
 
 def onehot_wide(df: DataFrame, col: str, prefix: str | None = None, cats: list | None = None) -> DataFrame:
     """pandas ``get_dummies`` on one column: the column is removed and one
     0/1 (bigint) column per sorted category is appended; null -> all zeros.
-    One projection, no shuffle (categories fetched once, bounded)."""
+    One projection, no shuffle; ``cats`` are the caller's (or the trained) categories."""
     prefix = prefix or col
     cats = category_list(df, col) if cats is None else list(cats)
     c = col_of(col)
@@ -56,9 +51,7 @@ def onehot_vector_model(cols: list, numeric: list, out: str = "features"):
 
 def vehicle_key() -> Column:
     from ecoframe.schema import NUMERIC_COLUMNS
-    strs = [col_of(c).cast("string") for c in ("mk", "cn", "year", "ft")]
-    nums = [number_key(c) for c in NUMERIC_COLUMNS]
-    return F.concat_ws("|", *strs, *nums)
+    return lossless_key(["mk", "cn", "year", "ft", *NUMERIC_COLUMNS])
 
 
 def with_split(df: DataFrame, key: Column, seed: int = SPLIT_SEED, test_fraction: float = TEST_FRACTION,
@@ -74,15 +67,28 @@ def with_split(df: DataFrame, key: Column, seed: int = SPLIT_SEED, test_fraction
 def exact_split(df: DataFrame, key: Column, seed: int = SPLIT_SEED, test_fraction: float = TEST_FRACTION,
                 name: str = "split") -> DataFrame:
     """Exact-size split: the first ``ceil(test_fraction * n)`` rows in
-    (hash bucket, key) order are ``test``.  The global row number is built by
-    range partitioning (``rank_within_groups`` with no group), never in one
-    task."""
-    n = df.count()
-    m = int(math.ceil(test_fraction * n))
+    (hash bucket, key) order are ``test``.
+
+    One count per 16-bit prefix of the bucket finds the prefix in which the cut
+    falls; only its rows (about n / 65,536, more where keys repeat) are ranked, spread over
+    tasks (``rank_within_groups``), and all others are decided by their prefix."""
+    coarse = 65536
     t = df.withColumn("_b", hash_bucket32(key, seed)).withColumn("_k", key)
-    r = rank_within_groups(t, [], ["_b", "_k"], "_rn")
-    return r.withColumn(name, F.when(F.col("_rn") <= m, F.lit("test")).otherwise(F.lit("train"))) \
-            .drop("_b", "_k", "_rn")
+    prefix = F.floor(F.col("_b") / F.lit(coarse))
+    counts = sorted((r["p"], r["n"]) for r in t.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    m = int(math.ceil(test_fraction * sum(n for _, n in counts)))
+    below, cut = 0, None
+    for p, n in counts:
+        if below + n > m:
+            cut = p
+            break
+        below += n
+    if cut is None:
+        return df.withColumn(name, F.lit("test"))
+    sure = t.filter(prefix != cut).withColumn(name, F.when(prefix < cut, F.lit("test")).otherwise(F.lit("train")))
+    edge = rank_within_groups(t.filter(prefix == cut), [], ["_b", "_k"], "_rn")
+    edge = edge.withColumn(name, F.when(F.col("_rn") <= m - below, F.lit("test")).otherwise(F.lit("train"))).drop("_rn")
+    return sure.unionByName(edge).drop("_b", "_k")
 
 
 def random_split(df: DataFrame, test_fraction: float = TEST_FRACTION, seed: int | None = None):

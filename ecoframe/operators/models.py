@@ -8,24 +8,29 @@ on the training split (the reference refits a scaler at serving time).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ecoframe.functions.expressions import col_of
 from ecoframe.operators.evaluate import regression_metrics
 from ecoframe.operators.features import category_list, onehot_vector_model, onehot_wide
 from ecoframe.operators.knn import knn_regress
-
-# Final forest of the reference: 100 trees, no bootstrap, 75 % of features per
-# split, min leaf 1, seed 42.  MLlib has no min-split parameter and caps the
-# depth at 30; ``max_depth`` is a parameter here.
-RF_FINAL = dict(numTrees=100, bootstrap=False, featureSubsetStrategy="0.75", minInstancesPerNode=1,
-                seed=42)
+from ecoframe.schema import KNN_K, RF_FINAL_PARAMS
+
+# MLlib has no min-split parameter; its deepest tree has 30 levels, and 256 bins are as fine
+# as its candidate splits get here.
+DEPTH = dict(maxDepth=30, maxBins=256, maxMemoryInMB=512, cacheNodeIds=True)
+# Final forest: no bootstrap, 75 % of features per split.
+RF_FINAL = dict(numTrees=RF_FINAL_PARAMS["n_estimators"], bootstrap=RF_FINAL_PARAMS["bootstrap"],
+                featureSubsetStrategy=str(RF_FINAL_PARAMS["max_features"]),
+                minInstancesPerNode=RF_FINAL_PARAMS["min_samples_leaf"], seed=RF_FINAL_PARAMS["random_state"], **DEPTH)
 # Library defaults of the dashboard forest: bootstrap, all features.
-RF_DEFAULT = dict(numTrees=100, bootstrap=True, featureSubsetStrategy="all", seed=42)
+RF_DEFAULT = dict(numTrees=100, bootstrap=True, featureSubsetStrategy="all", seed=42, **DEPTH)
 
 
 def estimator(name: str, label: str = "label", features: str = "features", **kw):
@@ -46,8 +51,10 @@ def feature_pipeline(numeric: list, categorical: list, scale: bool = True) -> li
         stages += onehot_vector_model(categorical, numeric, out="raw_features").getStages()
     else:
         stages.append(VectorAssembler(inputCols=list(numeric), outputCol="raw_features"))
-    if scale:
-        stages.append(StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True))
+    if scale:  # the numbers alone: centring flags would make every sparse row dense
+        stages.append(VectorAssembler(inputCols=list(numeric), outputCol="numbers"))
+        stages.append(StandardScaler(inputCol="numbers", outputCol="scaled_numbers", withMean=True, withStd=True))
+        stages.append(VectorAssembler(inputCols=["scaled_numbers", *[f"{c}_vec" for c in categorical]], outputCol="features"))
     else:
         stages.append(VectorAssembler(inputCols=["raw_features"], outputCol="features"))
     return stages
@@ -68,11 +75,26 @@ def predict(model: PipelineModel, df: DataFrame, keep: list, label: str | None =
     return out.select(*cols, F.col("prediction").alias("y_pred"))
 
 
-def save_model(model: PipelineModel, path: str) -> str:
+def model_signature(model: PipelineModel, df: DataFrame, inputs: list, features: str = "raw_features") -> dict:
+    """Input columns with types, output column and feature names of a fitted pipeline."""
+    types = dict(df.dtypes)
+    return {"inputs": [{"name": c, "type": types[c]} for c in inputs], "output": {"name": "prediction", "type": "double"},
+            "features": feature_names(model, df, features)}
+
+
+def save_model(model: PipelineModel, path: str, signature: dict | None = None) -> str:
+    """Saves the pipeline, and its signature (with the feature list) as JSON beside it."""
     model.write().overwrite().save(path)
+    if signature is not None:
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(json.dumps(signature),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}-signature")
     return path
 
 
+def load_signature(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(f"{path}-signature").first()["value"])
+
+
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
@@ -102,12 +124,12 @@ def compare_models(train: DataFrame, test: DataFrame, label: str, feature_sets:
                     tr = onehot_wide(tr, c, c, cats)
                     te = onehot_wide(te, c, c, cats)
                     cols += [f"{c}_{v}" for v in cats]
-                p = knn_regress(tr, te, cols, label, key, key)
+                p = knn_regress(tr, te, cols, label, key, key, k=KNN_K)
                 # equal keys are equal rows with one prediction: one row per key before joining
                 pred = test.select(col_of(key), col_of(label).alias("y_true")).join(p.distinct(), key) \
                            .withColumnRenamed("prediction", "y_pred")
             else:
-                mdl = fit_model(train, m, numeric, categorical, label, scale=(m != "knn"),
+                mdl = fit_model(train, m, numeric, categorical, label, scale=(m == "ols"),
                                 **(rf_kw or {}) if m.startswith("rf") else {})
                 pred = predict(mdl, test, [key], label)
             met = regression_metrics(pred).select(F.lit(m).alias("model"), F.lit(fs_name).alias("features"),

@@ -6,7 +6,9 @@ table has ``metric, ts, value``.  Appends are ``write.mode('append')``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ecoframe.functions.expressions import col_of
@@ -79,12 +81,14 @@ def append_new_values(history: DataFrame, batch: DataFrame, metric: str = "metri
 
 
 def metric_series(samples: DataFrame, metric: str = "metric", ts: str = "ts", value: str = "value",
-                  unit: str = "day") -> DataFrame:
-    """Plot data: per metric and time bucket, sample count, mean and last value."""
+                  unit: str = "day", tie: str | None = None) -> DataFrame:
+    """Plot data: per metric and time bucket, sample count, mean and last value
+    (of equal times the one with the largest ``tie``)."""
+    order = F.struct(col_of(ts), col_of(tie)) if tie else col_of(ts)
     b = F.date_trunc(unit, col_of(ts)).alias("bucket")
     return samples.groupBy(col_of(metric), b).agg(
         F.count(F.lit(1)).alias("n_samples"), F.avg(col_of(value)).alias("mean_value"),
-        F.max_by(col_of(value), col_of(ts)).alias("last_value"))
+        F.max_by(col_of(value), order).alias("last_value"))
 
 
 def latest_artifacts(manifest: DataFrame, artifact: str = "artifact", path: str = "path",
@@ -93,3 +97,46 @@ def latest_artifacts(manifest: DataFrame, artifact: str = "artifact", path: str
     return manifest.groupBy(col_of(artifact)).agg(
         F.max_by(col_of(path), F.struct(col_of(created), col_of(path))).alias("path"),
         F.max(col_of(created)).alias("created_at"))
+
+
+# Columns of the run log: parameters, metrics and tags by name.
+RUN_LOG = ("run_id string, run_name string, start_time timestamp, params map<string,string>, "
+           "metrics map<string,double>, tags map<string,string>, version long")
+MANIFEST = "artifact string, path string, created_at timestamp"
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at ``path``; empty where it was not created yet."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.read.schema(schema).parquet(path)
+    return spark.createDataFrame([], schema)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return _stored(spark, path, RUN_LOG)
+
+
+def log_runs(runs: DataFrame, path: str) -> DataFrame:
+    """Appends runs (run_id, run_name, start_time, params, metrics, tags) to the log at ``path``
+    and returns the log.  A run's version follows the highest one that its name has."""
+    spark = runs.sparkSession
+    last = read_runs(spark, path).groupBy("run_name").agg(F.max("version").alias("_last"))
+    new = run_versions(runs, "run_name", "start_time", "run_id").join(last, "run_name", "left")
+    new = new.withColumn("version", F.col("version") + F.coalesce("_last", F.lit(0)))
+    names = spark.createDataFrame([], RUN_LOG).columns
+    new.select(*names).write.mode("append").parquet(path)
+    return read_runs(spark, path)
+
+
+def stamped_path(base: str, name: str, created: datetime) -> str:
+    """Output path that carries its creation time: base/name_YYYYmmdd_HHMMSS."""
+    return f"{base.rstrip('/')}/{name}_{created:%Y%m%d_%H%M%S}"
+
+
+def write_manifest(entries: DataFrame, path: str) -> DataFrame:
+    """Appends (artifact, path, created_at) rows and returns the manifest: the newest path of every
+    artifact ever entered, so older keys stay."""
+    names = entries.sparkSession.createDataFrame([], MANIFEST).columns
+    entries.select(*names).write.mode("append").parquet(path)
+    return latest_artifacts(_stored(entries.sparkSession, path, MANIFEST))

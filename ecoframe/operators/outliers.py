@@ -13,14 +13,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ecoframe.functions.expressions import abs_diff, col_of
 from ecoframe.operators.quantiles import exact_quantiles
 from ecoframe.schema import IQR_FACTOR, OUTLIER_GROUP, OUTLIER_ORDER
-from ecoframe.session import materialize  # noqa: F401  (re-exported)
+from ecoframe.session import discard, materialize  # noqa: F401  (re-exported)
 
 
 def group_mean(df: DataFrame, target: str, group: list = OUTLIER_GROUP) -> DataFrame:
@@ -70,21 +69,24 @@ def outlier_pass(df: DataFrame, target: str, group: list = OUTLIER_GROUP,
 
 
 def outlier_chain(df: DataFrame, targets: list = OUTLIER_ORDER, group: list = OUTLIER_GROUP,
-                  factor: float = IQR_FACTOR, cut: bool = True):
-    """Sequential passes over ``targets``; returns (survivors, [PassReport])."""
+                  factor: float = IQR_FACTOR):
+    """Sequential passes over ``targets``; returns (survivors, [PassReport]).
+
+    Each pass writes its table with distances once; the table of the pass before is then removed."""
     cols = list(df.columns)
     cur = df
-    reports = []
+    reports, written = [], None
     for t in targets:
-        j = with_distance(cur, t, group).persist(StorageLevel.MEMORY_AND_DISK)
+        # written once: quantiles, counts and the next pass read this table, the last with a pushed-down filter
+        j = materialize(with_distance(cur, t, group).select(*[col_of(c) for c in cols], f"diff_{t}"), f"outlier-{t}")
         d = F.col(f"diff_{t}")
         seuil = iqr_threshold(j, f"diff_{t}", factor)
         counts = j.agg(F.count_if(d >= F.lit(seuil)).alias("above"),
                        F.count_if(d <= F.lit(seuil)).alias("kept")).first()
         kept = j.filter(d <= F.lit(seuil)).select(*[col_of(c) for c in cols])
-        if cut:
-            kept = materialize(kept, f"outlier-{t}")
-        j.unpersist()
+        if written is not None:
+            discard(written)
+        written = j
         reports.append(PassReport(t, seuil, int(counts["above"]), int(counts["kept"])))
         cur = kept
     return cur, reports

@@ -4,19 +4,20 @@ column into one task.
 Spark's ``percentile`` aggregate is exact but merges a value->count map of
 the whole column in a single final task; for a global (ungrouped) quantile
 over billions of distinct doubles that task holds everything.  Here the
-order statistics are found by histogram refinement instead:
+order statistics are found by histogram refinement instead, for all columns
+and all wanted ranks together:
 
-1. one pass for ``count``, ``min``, ``max``;
-2. if the column is small (at most ``max_fetch`` rows) its distinct values
-   with counts are fetched directly (a bounded transfer);
-3. otherwise each pass builds an equal-width histogram (``buckets`` bins)
-   over the current value interval, every task contributing partial counts;
-   the bin holding the wanted rank becomes the next interval.  Once a bin
-   holds at most ``max_fetch`` rows or a single value, its distinct values
-   are fetched.
+1. one pass for the count, the finite minimum and maximum and the number of
+   infinite values of every column;
+2. each further pass builds an equal-width histogram (``buckets`` bins) over
+   every interval that still holds a wanted rank, every task contributing
+   partial counts; the bin that holds the rank becomes the next interval, cut
+   to the smallest and largest value found in it.  An interval of one value
+   is the answer.
 
-Each pass returns at most ``buckets`` rows, the final fetch at most
-``max_fetch``; the work per pass is one scan with partial aggregation.
+An interval's two ends always fall into different bins, so every pass narrows
+it and the search ends.  A pass returns at most ``buckets`` rows per open
+interval, whatever the column holds; no values are fetched.
 """
 
 from __future__ import annotations
@@ -29,79 +30,82 @@ from pyspark.sql import functions as F
 from ecoframe.functions.expressions import col_of
 
 
-def _select_rank(values_counts, rank):
-    """Value at 0-based ``rank`` from sorted (value, count) pairs."""
-    seen = 0
-    for v, c in values_counts:
-        seen += c
-        if rank < seen:
-            return v
-    raise ValueError("rank outside the fetched values")
+def _long_form(df: DataFrame, cols: list) -> DataFrame:
+    """(c, x): number of the column and its value; nulls and NaN are left out."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("c"), col_of(c).cast("double").alias("x")) for i, c in enumerate(cols)])
+    return df.select(F.explode(pairs).alias("_p")).select("_p.c", "_p.x").filter(
+        F.col("x").isNotNull() & ~F.isnan(F.col("x")))
 
 
-def order_statistics(x: DataFrame, ranks: list, n: int, lo: float, hi: float,
-                     max_fetch: int = 200_000, buckets: int = 4096) -> dict:
-    """Exact values at the given 0-based ranks of column ``x`` of ``x``."""
+def order_statistics(x: DataFrame, wanted: list, buckets: int) -> dict:
+    """Values at 0-based ranks.  ``wanted``: (column, lowest, highest, rows below the lowest, ranks)."""
     out = {}
-    # (interval low, interval high, rows below the interval, rows inside) -> ranks
-    pending = {(lo, hi, 0, n): sorted(set(ranks))}
+    pending = [(c, lo, hi, below, sorted(set(ranks))) for c, lo, hi, below, ranks in wanted if ranks]
     while pending:
-        (a, b, below, inside), rks = pending.popitem()
-        sub = x.filter((F.col("x") >= a) & (F.col("x") <= b))
-        if a == b:
-            for r in rks:
-                out[r] = a
-            continue
-        if inside <= max_fetch:
-            vc = sorted((row[0], row[1]) for row in sub.groupBy("x").count().collect())
-            for r in rks:
-                out[r] = _select_rank(vc, r - below)
+        for c, lo, hi, _, ranks in pending:
+            if lo == hi:
+                out.update({(c, r): lo for r in ranks})
+        pending = [p for p in pending if p[1] < p[2]]
+        if not pending:
+            break
+        number = bucket = None
+        for i, (c, lo, hi, _, _) in enumerate(pending):
+            inside = (F.col("c") == c) & F.col("x").between(lo, hi)
+            width = hi / buckets - lo / buckets  # a difference of the ends could overflow
+            place = (F.least(F.floor(F.col("x") / F.lit(width) - F.lit(lo / width)), F.lit(buckets - 1)) if width > 0
+                     and math.isfinite(lo / width) and math.isfinite(hi / width) else F.lit(1))
+            # Rounding can't merge the ends: the lowest value has the first bin, the highest the last.
+            place = F.when(F.col("x") == lo, F.lit(0)).when(F.col("x") == hi, F.lit(buckets)).otherwise(
+                F.greatest(place.cast("int"), F.lit(1)))
+            number = F.when(inside, F.lit(i)) if number is None else number.when(inside, F.lit(i))
+            bucket = F.when(inside, place) if bucket is None else bucket.when(inside, place)
+        hist = (x.select("x", number.alias("i"), bucket.alias("b")).filter("i IS NOT NULL").groupBy("i", "b")
+                .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect())
+        narrowed = []
+        for i, (c, _, _, below, ranks) in enumerate(pending):
+            for row in sorted((r for r in hist if r["i"] == i), key=lambda r: r["lo"]):
+                hit = [r for r in ranks if below <= r < below + row["n"]]
+                if hit:
+                    narrowed.append((c, row["lo"], row["hi"], below, hit))
+                below += row["n"]
+        pending = narrowed
+    return out
+
+
+def exact_quantiles_of(df: DataFrame, cols: list, probs: list, buckets: int = 1024) -> dict:
+    """{column: quantiles} for several columns in the same passes; linear
+    interpolation between order statistics as in numpy/pandas:
+    ``q = x[f] + (x[f+1] - x[f]) * t`` with ``pos = p * (n - 1)``,
+    ``f = floor(pos)``, ``t = pos - f``.  Without values: None."""
+    x = _long_form(df, cols)
+    finite = F.abs(F.col("x")) < F.lit(float("inf"))
+    stats = {r["c"]: r for r in x.groupBy("c").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.when(finite, F.col("x"))).alias("lo"),
+        F.max(F.when(finite, F.col("x"))).alias("hi"), F.count_if(F.col("x") == F.lit(float("-inf"))).alias("under"),
+        F.count_if(F.col("x") == F.lit(float("inf"))).alias("over")).collect()}
+    ranks, wanted, known = {}, [], {}
+    for i, _ in enumerate(cols):
+        if i not in stats:
             continue
-        width = (b - a) / buckets
-        bucket = F.least(F.floor((F.col("x") - F.lit(a)) / F.lit(width)), F.lit(buckets - 1))
-        hist = sorted(
-            (row["b"], row["n"], row["lo"], row["hi"])
-            for row in sub.groupBy(bucket.alias("b"))
-                          .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-                          .collect())
-        cum = below
-        for _, cnt, blo, bhi in hist:
-            hit = [r for r in rks if cum <= r < cum + cnt]
-            if hit:
-                key = (blo, bhi, cum, cnt)
-                if key == (a, b, below, inside):
-                    # no progress possible on a fixed interval: fetch it
-                    vc = sorted((row[0], row[1]) for row in sub.groupBy("x").count().collect())
-                    for r in hit:
-                        out[r] = _select_rank(vc, r - below)
-                else:
-                    pending.setdefault(key, []).extend(hit)
-            cum += cnt
+        s = stats[i]
+        ranks[i] = [(math.floor(p * (s["n"] - 1)), p * (s["n"] - 1)) for p in probs]
+        need = {min(f + d, s["n"] - 1) for f, _ in ranks[i] for d in (0, 1)}
+        for r in need:
+            if r < s["under"]:
+                known[i, r] = float("-inf")
+            elif r >= s["n"] - s["over"]:
+                known[i, r] = float("inf")
+        wanted.append((i, s["lo"], s["hi"], s["under"], [r for r in need if (i, r) not in known]))
+    known |= order_statistics(x, wanted, buckets)
+    out = {}
+    for i, c in enumerate(cols):
+        out[c] = [None] * len(probs)
+        for at, (f, pos) in enumerate(ranks.get(i, ())):
+            low, t = known[i, f], pos - f
+            out[c][at] = low if t == 0 else low + (known[i, min(f + 1, stats[i]["n"] - 1)] - low) * t
     return out
 
 
-def exact_quantiles(df: DataFrame, col, probs: list, max_fetch: int = 200_000,
-                    buckets: int = 4096) -> list:
-    """Quantiles of ``col`` (nulls and NaN skipped), linear interpolation
-    between order statistics as in numpy/pandas: ``q = x[f] + (x[f+1] - x[f]) * t``
-    with ``pos = p * (n - 1)``, ``f = floor(pos)``, ``t = pos - f``."""
-    x = df.select(col_of(col).cast("double").alias("x")).filter(
-        F.col("x").isNotNull() & ~F.isnan(F.col("x")))
-    st = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    n = int(st["n"])
-    if n == 0:
-        return [None] * len(probs)
-    ranks = []
-    for p in probs:
-        pos = p * (n - 1)
-        f = math.floor(pos)
-        ranks += [f, min(f + 1, n - 1)]
-    vals = order_statistics(x, ranks, n, float(st["lo"]), float(st["hi"]), max_fetch, buckets)
-    res = []
-    for p in probs:
-        pos = p * (n - 1)
-        f = math.floor(pos)
-        t = pos - f
-        lo_v, hi_v = vals[f], vals[min(f + 1, n - 1)]
-        res.append(lo_v if t == 0 else lo_v + (hi_v - lo_v) * t)
-    return res
+def exact_quantiles(df: DataFrame, col, probs: list, buckets: int = 1024) -> list:
+    """Quantiles of one column (see `exact_quantiles_of`)."""
+    return exact_quantiles_of(df.select(col_of(col).alias("x")), ["x"], probs, buckets)["x"]

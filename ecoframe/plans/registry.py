@@ -12,6 +12,7 @@ from ecoframe.operators import clean, outliers
 from ecoframe.plans import oracle as O
 from ecoframe.plans import vehicles as V
 from ecoframe.schema import OUTLIER_GROUP, PROCESSED_COLUMNS, RAW_COLUMNS
+from ecoframe.session import materialize, scratch_path
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -122,6 +123,11 @@ def q_fuel_final(spark, sf):
     return V.final(spark, sf)
 
 
+@register("fuel_final_v1", O.stage_sql("final", f"SELECT {PROC} FROM final", rule="v1"))
+def q_fuel_final_v1(spark, sf):
+    return V.final(spark, sf, "v1")
+
+
 def _stage_counts_sql():
     names = ["src", "dedup", "fuel", "brand", "rare", "p1", "p2", "p3", "p4", "p5", "p6", "final"]
     sel = "\nUNION ALL\n".join(f"SELECT {O.q(n)} AS stage, count(*) AS n_rows FROM {n}" for n in names)
@@ -130,18 +136,13 @@ def _stage_counts_sql():
 
 @register("stage_counts", _stage_counts_sql())
 def q_stage_counts(spark, sf):
-    out, reports = V.chain(spark, sf)
-    stages = [("src", V.src(spark, sf)), ("dedup", V.dedup(spark, sf)), ("fuel", V.fuel(spark, sf)),
-              ("brand", V.brand(spark, sf)), ("rare", V.cleaned(spark, sf))]
-    parts = [d.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("stage"), "n_rows")
-             for n, d in stages]
-    rep = outliers.reports_frame(spark, reports).select(
-        F.concat(F.lit("p"), F.col("pass_no").cast("string")).alias("stage"), F.col("rows_after").alias("n_rows"))
-    fin = V.final(spark, sf).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("final").alias("stage"), "n_rows")
-    res = parts[0]
-    for p in parts[1:] + [rep, fin]:
-        res = res.unionByName(p)
-    return res
+    """Counts of the written stages; src and dedup were counted while the fuel stage was written."""
+    _, reports = V.chain(spark, sf)
+    fuel, counts = V.counted_fuel(spark, sf)
+    counts = {**counts, "fuel": fuel.count(), "brand": V.brand(spark, sf).count(), "rare": V.cleaned(spark, sf).count()}
+    counts |= {f"p{i}": r.rows_after for i, r in enumerate(reports, 1)}
+    counts["final"] = V.final(spark, sf).count()
+    return spark.createDataFrame(list(counts.items()), "stage string, n_rows long")
 
 
 @register("mean_co2", O.stage_sql(
@@ -154,6 +155,8 @@ def q_mean_co2(spark, sf):
 # 2.4 Encoding, splits, scaling
 # =====================================================================================
 
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
 from ecoframe.operators import evaluate as EV  # noqa: E402
 from ecoframe.operators import features as FE  # noqa: E402
 from ecoframe.operators import knn as KNN  # noqa: E402
@@ -161,11 +164,14 @@ from ecoframe.operators import models as MD  # noqa: E402
 from ecoframe.operators import scoring as SC  # noqa: E402
 from ecoframe.plans import modeling as M  # noqa: E402
 from ecoframe.schema import (  # noqa: E402
-    API_RANGES, BASE_FEATURES, DASHBOARD_FEATURES, ERROR_REVIEW_THRESHOLD, NUMERIC_COLUMNS, TARGET,
+    API_RANGES, BASE_FEATURES, DASHBOARD_FEATURES, DASHBOARD_RANGES, ERROR_REVIEW_THRESHOLD, FUEL_DROP_AFTER_MAP,
+    FUEL_DROP_EARLY, KNN_K, NUMERIC_COLUMNS, TARGET, rules,
 )
+from ecoframe.sources.fixtures import FIXTURE_FUELS, FIXTURE_MAKES, RARE_MAKE  # noqa: E402
 
-KEY_SQL = ("concat_ws('|', mk, cn, CAST(year AS VARCHAR), ft, "
-           + ", ".join(f"printf('%.3f', {c})" for c in NUMERIC_COLUMNS) + ")")
+KEY_SQL = "concat_ws('|', " + ", ".join(
+    rf"coalesce(replace(replace(CAST({c} AS VARCHAR), '\', '\\'), '|', '\|'), '\N')"
+    for c in ["mk", "cn", "year", "ft", *NUMERIC_COLUMNS]) + ")"
 CUT = 858993459  # floor(0.2 * 2^32)
 SPLIT_CTE = (f"SELECT *, {KEY_SQL} AS row_key, CASE WHEN ('0x' || substr(md5('42:' || {KEY_SQL}), 1, 8))::BIGINT "
              f"< {CUT} THEN 'test' ELSE 'train' END AS split FROM final")
@@ -184,30 +190,41 @@ def q_categories(spark, sf):
     return FE.categories(V.final(spark, sf), "mk")
 
 
-_REST = "mk, cn, mass_kg, ewltp_g_km, ec_cm3, ep_kw, erwltp_g_km, year, fc"
+# Categories that the rules can produce from the fixture's spellings: the trained category table.
+FUEL_CATEGORIES = sorted({rules().fuel_map.get(f.lower(), f.lower()) for f in FIXTURE_FUELS}
+                         - {*FUEL_DROP_EARLY, *FUEL_DROP_AFTER_MAP, *rules().fuel_drop_final})
+BRAND_CATEGORIES = sorted({rules().brand_map.get(m, m) for m in (
+    next((b for b in rules().brands if b in make.upper()), make.upper()) for make in [*FIXTURE_MAKES, RARE_MAKE])} - {*rules().deny})
+
+
+def _flags_sql(col: str, prefix: str, cats: list) -> str:
+    return ", ".join(f'coalesce(CAST({col} = {O.q(c)} AS BIGINT), 0) AS "{prefix}_{c}"' for c in cats)
 
 
 @register("onehot_fuel", O.stage_sql(
-    "final", f"SELECT * EXCLUDE (_rid) FROM (PIVOT (SELECT *, 'Ft_' || ft AS _k, row_number() OVER () AS _rid "
-             f"FROM final) ON _k USING count(*) GROUP BY _rid, {_REST})"))
+    "final", f"SELECT {', '.join(c for c in PROCESSED_COLUMNS if c != 'ft')}, {_flags_sql('ft', 'Ft', FUEL_CATEGORIES)} FROM final"))
 def q_onehot_fuel(spark, sf):
-    return FE.onehot_wide(V.final(spark, sf), "ft", "Ft")
+    return FE.onehot_wide(V.final(spark, sf), "ft", "Ft", FUEL_CATEGORIES)
 
 
-@register("onehot_brand", O.with_ctes(O.ctes("final") + [
-    ("b", "SELECT row_number() OVER () AS _rid, * FROM final"),
-    ("kk", "SELECT _rid, 'Ft_' || ft AS _k FROM b UNION ALL SELECT _rid, 'Mk_' || mk FROM b")],
-    "SELECT b.* EXCLUDE (_rid, ft, mk), p.* EXCLUDE (_rid) FROM b JOIN "
-    "(PIVOT (SELECT * FROM kk) ON _k USING count(*) GROUP BY _rid) p USING (_rid)"))
+@register("onehot_brand", O.stage_sql(
+    "final", f"SELECT {', '.join(c for c in PROCESSED_COLUMNS if c not in ('ft', 'mk'))}, "
+             f"{_flags_sql('ft', 'Ft', FUEL_CATEGORIES)}, {_flags_sql('mk', 'Mk', BRAND_CATEGORIES)} FROM final"))
 def q_onehot_brand(spark, sf):
-    return FE.onehot_wide(FE.onehot_wide(V.final(spark, sf), "ft", "Ft"), "mk", "Mk")
+    return FE.onehot_wide(FE.onehot_wide(V.final(spark, sf), "ft", "Ft", FUEL_CATEGORIES), "mk", "Mk", BRAND_CATEGORIES)
 
 
-@register("onehot_vector")
+@register("onehot_vector", O.stage_sql(
+    "final", f"SELECT {PROC}, sz AS n_slots, {' + '.join(BASE_FEATURES)} + 2.0 AS slot_sum FROM final, "
+             f"(SELECT CAST({len(BASE_FEATURES)} + count(DISTINCT ft) + count(DISTINCT mk) + 4 AS INTEGER) AS sz FROM final)"))
 def q_onehot_vector(spark, sf):
+    """The vector encoding: its width (numbers, categories, and two slots a column for unseen values) and
+    the sum of its slots (the numbers plus one flag per column)."""
     f = V.final(spark, sf)
     model = FE.onehot_vector_model(["ft", "mk"], BASE_FEATURES).fit(f)
-    return model.transform(f).select(*PROCESSED_COLUMNS, "features")
+    values = vector_to_array("features")
+    return model.transform(f).select(*PROCESSED_COLUMNS, F.size(values).alias("n_slots"),
+                                     F.aggregate(values, F.lit(0.0), lambda x, y: x + y).alias("slot_sum"))
 
 
 @register("feature_names", O.stage_sql(
@@ -236,10 +253,11 @@ def q_split_exact(spark, sf):
     return FE.exact_split(f, F.col("row_key"))
 
 
-@register("split_random")
+@register("split_random", O.stage_sql("final", f"SELECT {PROC} FROM final"))
 def q_split_random(spark, sf):
+    """Both parts of an unseeded split together: every row once, whatever its side."""
     train, test = FE.random_split(V.final(spark, sf))
-    return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
+    return train.unionByName(test)
 
 
 def _scaler_fit_sql():
@@ -379,51 +397,86 @@ def _knn_sql():
 @register("knn", _knn_sql())
 def q_knn(spark, sf):
     train, test = M.train_test(spark, sf)
-    return KNN.knn_regress(train, test, DASHBOARD_FEATURES, TARGET, "row_key", "row_key", k=5)
+    return KNN.knn_regress(train, test, DASHBOARD_FEATURES, TARGET, "row_key", "row_key", k=KNN_K)
+
+
+def _predictions(spark, sf, name, features, categorical):
+    """Test predictions of one model, fitted once per session and input."""
+    def make():
+        train, test = M.train_test(spark, sf)
+        model = MD.fit_model(train, name, features, categorical, TARGET, scale=False)
+        return materialize(MD.predict(model, test, ["row_key"], TARGET), f"predictions-{name}")
+
+    return V._once(spark, sf, f"predictions-{name}", "v2", make)
+
+
+def _bounds(pred):
+    """One row: a prediction per test row, and better than the mean."""
+    m = EV.regression_metrics(pred)
+    return m.select("n", (F.col("r2") > 0).alias("beats_mean"), (F.col("r2") > 0.5).alias("explains_half"))
 
 
-RF_DEPTH = 10
+_BOUNDS_SQL = split_sql("SELECT count(*) AS n, true AS beats_mean, true AS explains_half FROM te")
 
 
-@register("ols")
+@register("ols", split_sql("SELECT row_key, ewltp_g_km AS y_true, true AS finite FROM te"))
 def q_ols(spark, sf):
-    train, test = M.train_test(spark, sf)
+    """Least squares on the dashboard features: a finite prediction for every test row."""
+    pred = _predictions(spark, sf, "ols", DASHBOARD_FEATURES, [])
+    return pred.select("row_key", "y_true", (F.abs("y_pred") < 1e6).alias("finite"))
+
+
+@register("ols_residuals", split_sql(
+    "SELECT f AS feature, true AS orthogonal FROM (SELECT unnest([" + ", ".join(O.q(f) for f in ["intercept", *DASHBOARD_FEATURES]) + "]) AS f)"))
+def q_ols_residuals(spark, sf):
+    """The defining property of least squares: training residuals are orthogonal to every feature."""
+    train, _ = M.train_test(spark, sf)
     model = MD.fit_model(train, "ols", DASHBOARD_FEATURES, [], TARGET, scale=False)
-    return MD.predict(model, test, ["row_key"], TARGET)
+    res = model.transform(train).withColumn("_r", F.col(TARGET) - F.col("prediction")).withColumn("intercept", F.lit(1.0))
+    names = ["intercept", *DASHBOARD_FEATURES]
+    row = res.agg(*[(F.abs(F.sum(F.col("_r") * F.col(c))) <= 1e-6 * F.sum(F.abs(F.col("_r") * F.col(c))) + 1e-6).alias(c) for c in names])
+    stack = ", ".join(f"'{c}', `{c}`" for c in names)
+    return row.selectExpr(f"stack({len(names)}, {stack}) AS (feature, orthogonal)")
 
 
 @register("rf_final")
 def q_rf_final(spark, sf):
-    train, test = M.train_test(spark, sf)
-    model = MD.fit_model(train, "rf_final", BASE_FEATURES, ["ft", "mk"], TARGET, maxDepth=RF_DEPTH)
-    return MD.predict(model, test, ["row_key"], TARGET)
+    return _predictions(spark, sf, "rf_final", BASE_FEATURES, ["ft", "mk"])
+
+
+@register("rf_final_bounds", _BOUNDS_SQL)
+def q_rf_final_bounds(spark, sf):
+    return _bounds(q_rf_final(spark, sf))
 
 
 @register("rf_default")
 def q_rf_default(spark, sf):
-    train, test = M.train_test(spark, sf)
-    model = MD.fit_model(train, "rf_default", DASHBOARD_FEATURES, [], TARGET, scale=False, maxDepth=RF_DEPTH)
-    return MD.predict(model, test, ["row_key"], TARGET)
+    return _predictions(spark, sf, "rf_default", DASHBOARD_FEATURES, [])
+
+
+@register("rf_default_bounds", _BOUNDS_SQL)
+def q_rf_default_bounds(spark, sf):
+    return _bounds(q_rf_default(spark, sf))
 
 
 @register("model_compare")
 def q_model_compare(spark, sf):
     train, test = M.train_test(spark, sf)
     sets = {"dashboard": (DASHBOARD_FEATURES, []), "dashboard+brand": (DASHBOARD_FEATURES, ["mk"])}
-    return MD.compare_models(train, test, TARGET, sets, "row_key", rf_kw={"maxDepth": RF_DEPTH})
+    return MD.compare_models(train, test, TARGET, sets, "row_key")
 
 
 def _trained(spark, sf, col):
     return FE.categories(V.final(spark, sf), col)
 
 
-def _check_sql(select: str) -> str:
+def _check_sql(select: str, ranges: dict = API_RANGES) -> str:
     req = ("SELECT request_id, floor(mass_kg)::INTEGER AS M_kg, floor(ec_cm3)::INTEGER AS Ec_cm3, "
            "floor(ep_kw)::INTEGER AS Ep_KW, erwltp_g_km AS Erwltp_g_km, fc AS Fc, ft AS fuel_type, mk AS Mk "
            f"FROM (SELECT *, {KEY_SQL} AS request_id FROM brand)")
     names = {"mass_kg": "M_kg", "ec_cm3": "Ec_cm3", "ep_kw": "Ep_KW", "erwltp_g_km": "Erwltp_g_km", "fc": "Fc"}
     checks = [f"CASE WHEN NOT coalesce({names[c]} BETWEEN {lo} AND {hi}, false) THEN '{names[c]}' END"
-              for c, (lo, hi) in API_RANGES.items()]
+              for c, (lo, hi) in ranges.items()]
     checks += ["CASE WHEN fuel_type NOT IN (SELECT ft FROM final WHERE ft IS NOT NULL) OR fuel_type IS NULL "
                "THEN 'fuel_type' END",
                "CASE WHEN Mk NOT IN (SELECT mk FROM final WHERE mk IS NOT NULL) OR Mk IS NULL THEN 'Mk' END"]
@@ -432,10 +485,9 @@ def _check_sql(select: str) -> str:
     return O.with_ctes(pairs, select)
 
 
-def _checked(spark, sf):
+def _checked(spark, sf, limits: dict = API_RANGES):
     req = M.requests(spark, sf)
-    ranges = {"M_kg": API_RANGES["mass_kg"], "Ec_cm3": API_RANGES["ec_cm3"], "Ep_KW": API_RANGES["ep_kw"],
-              "Erwltp_g_km": API_RANGES["erwltp_g_km"], "Fc": API_RANGES["fc"]}
+    ranges = {shown: limits[name] for shown, name in M.REQUEST_TO_INTERNAL.items() if name in limits}
     cats = {"fuel_type": _trained(spark, sf, "ft"), "Mk": _trained(spark, sf, "mk")}
     return SC.check_requests(req, ranges, cats)
 
@@ -445,36 +497,40 @@ def q_score_input_check(spark, sf):
     return _checked(spark, sf)
 
 
+@register("score_check_dashboard", _check_sql("SELECT * FROM ck", DASHBOARD_RANGES))
+def q_score_check_dashboard(spark, sf):
+    return _checked(spark, sf, DASHBOARD_RANGES)
+
+
+@register("score_quarantine", _check_sql(
+    "SELECT request_id, reasons, CAST(length(reasons) - length(replace(reasons, ',', '')) + 1 AS INTEGER) AS n_reasons "
+    "FROM ck WHERE NOT valid"))
+def q_score_quarantine(spark, sf):
+    """Refused requests, written beside the valid ones and read back, with all their reasons."""
+    _, refused = SC.write_checked(_checked(spark, sf), scratch_path(spark, "checked-requests"))
+    return refused.select("request_id", F.concat_ws(",", "reasons").alias("reasons"), F.size("reasons").alias("n_reasons"))
+
+
 @register("score_unknown_brand", _check_sql(
     "SELECT * FROM rq WHERE Mk IS NULL OR Mk NOT IN (SELECT mk FROM final WHERE mk IS NOT NULL)"))
 def q_score_unknown_brand(spark, sf):
     return SC.unknown_categories(M.requests(spark, sf), "Mk", _trained(spark, sf, "mk"))
 
 
-def _score_features_sql():
-    base = _check_sql("SELECT * FROM ck")
-    body = base[len("WITH "):base.rindex("SELECT * FROM ck")].rstrip().rstrip(",")
-    return ("WITH " + body + ",\n"
-            "v AS (SELECT row_number() OVER () AS _rid, * EXCLUDE (reasons, valid) FROM ck WHERE valid),\n"
-            "kk AS (SELECT _rid, 'Ft_' || fuel_type AS _k FROM v UNION ALL SELECT _rid, 'Mk_' || Mk FROM v)\n"
-            "SELECT v.* EXCLUDE (_rid, fuel_type, Mk), p.* EXCLUDE (_rid) FROM v JOIN "
-            "(PIVOT (SELECT * FROM kk) ON _k USING count(*) GROUP BY _rid) p USING (_rid)")
-
-
-@register("score_features", _score_features_sql())
+@register("score_features", _check_sql(
+    "SELECT request_id, M_kg, Ec_cm3, Ep_KW, Erwltp_g_km, Fc, "
+    f"{_flags_sql('fuel_type', 'Ft', FUEL_CATEGORIES)}, {_flags_sql('Mk', 'Mk', BRAND_CATEGORIES)} FROM ck WHERE valid"))
 def q_score_features(spark, sf):
     ok = _checked(spark, sf).filter("valid").drop("reasons", "valid")
-    ft = FE.category_list(V.final(spark, sf), "ft")
-    mk = FE.category_list(V.final(spark, sf), "mk")
-    return FE.onehot_wide(FE.onehot_wide(ok, "fuel_type", "Ft", ft), "Mk", "Mk", mk)
+    return FE.onehot_wide(FE.onehot_wide(ok, "fuel_type", "Ft", FUEL_CATEGORIES), "Mk", "Mk", BRAND_CATEGORIES)
 
 
 @register("rf_score")
 def q_rf_score(spark, sf):
-    from ecoframe.session import scratch_path
     train, _ = M.train_test(spark, sf)
-    model = MD.fit_model(train, "rf_final", BASE_FEATURES, ["ft", "mk"], TARGET, numTrees=20, maxDepth=8)
-    path = MD.save_model(model, scratch_path(spark, "model-rf"))
+    model = MD.fit_model(train, "rf_final", BASE_FEATURES, ["ft", "mk"], TARGET, scale=False)
+    path = MD.save_model(model, scratch_path(spark, "model-rf"),
+                         MD.model_signature(model, train, [*BASE_FEATURES, "ft", "mk"]))
     loaded = MD.load_model(path)
     ok = _checked(spark, sf).filter("valid")
     req = ok.select("request_id", *[F.col(k).cast("double").alias(v) for k, v in M.REQUEST_TO_INTERNAL.items()
@@ -551,10 +607,45 @@ def q_run_versions(spark, sf):
     "start_time AS created_at, row_number() OVER (PARTITION BY run_name ORDER BY start_time DESC, "
     "'runs/' || CAST(run_id AS VARCHAR) DESC) AS rn FROM runs) WHERE rn = 1"))
 def q_manifest_latest(spark, sf):
-    m = runs(spark, sf).select(F.col("run_name").alias("artifact"),
-                               F.concat(F.lit("runs/"), F.col("run_id").cast("string")).alias("path"),
-                               F.col("start_time").alias("created_at"))
-    return MO.latest_artifacts(m)
+    return MO.latest_artifacts(_artifacts(spark, sf))
+
+
+def _artifacts(spark, sf):
+    return runs(spark, sf).select(F.col("run_name").alias("artifact"),
+                                  F.concat(F.lit("runs/"), F.col("run_id").cast("string")).alias("path"),
+                                  F.col("start_time").alias("created_at"))
+
+
+_RUN_CUT = "1995-06-01 00:00:00"
+
+
+@register("run_log", runs_sql(
+    "SELECT run_id, run_name, start_time, rmse, status, row_number() OVER (PARTITION BY run_name ORDER BY start_time, run_id) "
+    "AS version FROM runs"))
+def q_run_log(spark, sf):
+    """Runs logged in two batches with parameters, metrics and tags; versions go on across batches."""
+    path = scratch_path(spark, "run-log")
+    logged = runs(spark, sf).select(
+        F.col("run_id").cast("string").alias("run_id"), "run_name", "start_time",
+        F.create_map(F.lit("status"), "status").alias("params"), F.create_map(F.lit("rmse"), "rmse").alias("metrics"),
+        F.create_map(F.lit("source"), F.lit("orders")).alias("tags"))
+    # versions count by (time, id); ids are numbers here, so they are padded to sort as numbers
+    logged = logged.withColumn("run_id", F.lpad("run_id", 20, "0"))
+    early = F.col("start_time") < F.lit(_RUN_CUT).cast("timestamp")
+    MO.log_runs(logged.filter(early), path)
+    log = MO.log_runs(logged.filter(~early), path)
+    return log.select(F.col("run_id").cast("long").alias("run_id"), "run_name", "start_time", F.col("metrics")["rmse"].alias("rmse"),
+                      F.col("params")["status"].alias("status"), "version")
+
+
+@register("manifest_roundtrip", ORACLE["manifest_latest"])
+def q_manifest_roundtrip(spark, sf):
+    """Artifacts entered in two batches: newer paths replace older ones, other keys stay."""
+    path = scratch_path(spark, "manifest")
+    m = _artifacts(spark, sf)
+    early = F.col("created_at") < F.lit(_RUN_CUT).cast("timestamp")
+    MO.write_manifest(m.filter(~early), path)
+    return MO.write_manifest(m.filter(early), path)
 
 
 @register("metric_latest", samples_sql(
@@ -581,10 +672,10 @@ def q_metric_dedup(spark, sf):
 
 @register("metric_series", samples_sql(
     "SELECT metric, date_trunc('day', ts) AS bucket, count(*) AS n_samples, round(avg(value), 6) AS mean_value, "
-    "arg_max(value, ts) AS last_value FROM samples GROUP BY metric, date_trunc('day', ts)"))
+    "arg_max(value, (ts, event_id)) AS last_value FROM samples GROUP BY metric, date_trunc('day', ts)"))
 def q_metric_series(spark, sf):
     # the mean of non-dyadic values depends on summation order: six decimals
-    return MO.metric_series(samples(spark, sf)).withColumn("mean_value", F.round("mean_value", 6))
+    return MO.metric_series(samples(spark, sf), tie="event_id").withColumn("mean_value", F.round("mean_value", 6))
 
 
 @register("metric_times", samples_sql(
@@ -599,7 +690,8 @@ def q_metric_times(spark, sf):
     epoch = F.unix_micros(ts) / F.lit(1_000_000.0)
     iso = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     back = F.timestamp_micros(F.round(epoch * F.lit(1_000_000.0)).cast("long"))
-    return s.select("event_id", epoch.alias("epoch_seconds"), iso.alias("iso"), (back == ts).alias("roundtrip_ok"))
+    read = F.to_timestamp(iso, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    return s.select("event_id", epoch.alias("epoch_seconds"), iso.alias("iso"), ((back == ts) & (read == ts)).alias("roundtrip_ok"))
 
 
 @register("metric_parse", samples_sql(
@@ -615,8 +707,7 @@ def q_metric_parse(spark, sf):
 
 from ecoframe.functions.expressions import format_size, progress_percent  # noqa: E402
 from ecoframe.operators.windows import running_sum  # noqa: E402
-from ecoframe.schema import FINAL_TABLES, PAGE_SIZE, TARGET_BRANDS, VEHICLE_SCHEMA, source_schema  # noqa: E402
-from ecoframe.session import scratch_path  # noqa: E402
+from ecoframe.schema import PAGE_SIZE, TARGET_BRANDS, source_schema  # noqa: E402
 from ecoframe.sources import files as FS  # noqa: E402
 from ecoframe.streaming import feeds as ST  # noqa: E402
 
@@ -626,39 +717,43 @@ def _years_table(spark, sf):
     return FS.write_by_year(V.src(spark, sf), path)
 
 
-@register("scan_year", O.stage_sql("src", f"SELECT {RAW} FROM src"))
+@register("scan_year", O.stage_sql("src", f"SELECT {RAW} FROM src WHERE year = 2022"))
 def q_scan_year(spark, sf):
     path = _years_table(spark, sf)
-    return FS.scan_years(spark, path, years=list(FINAL_TABLES)).select(*RAW_COLUMNS)
+    return FS.scan_years(spark, path, years=[2022]).select(*RAW_COLUMNS)
 
 
 @register("union_years", O.stage_sql("src", f"SELECT {RAW} FROM src"))
 def q_union_years(spark, sf):
     path = _years_table(spark, sf)
-    years = [r[0] for r in spark.read.parquet(path).select("year").distinct().collect()]
-    return FS.union_tables([FS.scan_years(spark, path, [y]).select(*RAW_COLUMNS) for y in sorted(years)])
+    return FS.union_tables([FS.scan_years(spark, path, [y]).select(*RAW_COLUMNS) for y in FS.years_of(spark, path)])
 
 
 def _landed_pages(spark, sf):
     path = scratch_path(spark, "landed-pages")
-    return FS.write_pages(V.src(spark, sf), path, table="year", page_size=PAGE_SIZE)
+    return FS.write_pages(V.src(spark, sf), path, table="year", page_size=PAGE_SIZE, source_names=True)
 
 
-@register("json_pages")
+@register("json_pages", O.stage_sql("src", f"SELECT {RAW} FROM src"))
 def q_json_pages(spark, sf):
-    return FS.flatten_pages(FS.read_pages(spark, _landed_pages(spark, sf)))
+    return FS.flatten_pages(FS.read_pages(spark, _landed_pages(spark, sf))).select(*RAW_COLUMNS)
+
+
+_BAD_PAGE = 95  # a sample with this counter makes its page a bad one
 
 
 @register("pages_until_gap", samples_sql(
-    "SELECT event_id, metric, ts, value, page FROM (SELECT *, event_id // 1000 AS page FROM samples) pg "
+    "SELECT event_id, metric, ts, value, page FROM (SELECT *, event_id // 100 AS page FROM samples) pg "
     "LEFT JOIN (SELECT metric, min(CASE WHEN bad = 1 THEN page WHEN page - coalesce(prev, -1) > 1 "
     "THEN coalesce(prev, -1) + 1 END) AS stop FROM (SELECT *, lag(page) OVER (PARTITION BY metric ORDER BY page) "
     "AS prev FROM (SELECT metric, page, max(CASE WHEN json_extract_string(props, '$.k') IS NULL OR value IS NULL "
-    "THEN 1 ELSE 0 END) AS bad FROM (SELECT *, event_id // 1000 AS page FROM samples) GROUP BY metric, page)) "
+    f"OR CAST(json_extract_string(props, '$.k') AS INTEGER) = {_BAD_PAGE} "
+    "THEN 1 ELSE 0 END) AS bad FROM (SELECT *, event_id // 100 AS page FROM samples) GROUP BY metric, page)) "
     "GROUP BY metric) st USING (metric) WHERE st.stop IS NULL OR pg.page < st.stop"))
 def q_pages_until_gap(spark, sf):
-    s = samples(spark, sf).withColumn("page", F.expr("event_id div 1000"))
-    bad = F.get_json_object("props", "$.k").isNull() | F.col("value").isNull()
+    s = samples(spark, sf).withColumn("page", F.expr("event_id div 100"))
+    k = F.get_json_object("props", "$.k")
+    bad = k.isNull() | F.col("value").isNull() | F.coalesce(k.cast("int") == _BAD_PAGE, F.lit(False))
     kept = FS.pages_until_gap(s, "metric", "page", bad, first_page=0)
     return kept.select("event_id", "metric", "ts", "value", "page")
 
@@ -688,9 +783,8 @@ def q_rename_strip(spark, sf):
     f = V.final(spark, sf)
     padded = f.select(*[F.col(c).alias(f" {c} ") for c in f.columns])
     path = FS.write_csv(padded, scratch_path(spark, "padded-csv"))
-    back = strip_column_names(FS.read_csv(spark, path))
-    types = {fl.name: fl.dataType for fl in VEHICLE_SCHEMA.fields}
-    return rename_to_internal(back).select(*[F.col(c).cast(types[c]).alias(c) for c in PROCESSED_COLUMNS])
+    back = strip_column_names(FS.read_csv(spark, path, schema=padded.schema))
+    return rename_to_internal(back).select(*PROCESSED_COLUMNS)
 
 
 # =====================================================================================
@@ -745,20 +839,33 @@ def q_preview(spark, sf):
 # 2.10 Streaming
 # =====================================================================================
 
-@register("stream_ingest")
+@register("stream_ingest", O.stage_sql("src", f"SELECT {RAW} FROM src"))
 def q_stream_ingest(spark, sf):
     landing = _landed_pages(spark, sf)
     sink, ckpt = scratch_path(spark, "stream-vehicles"), scratch_path(spark, "stream-vehicles-ckpt")
     ST.ingest_pages(spark, landing, sink, ckpt)
     ST.ingest_pages(spark, landing, sink, ckpt)  # rerun: the checkpoint makes it add nothing
-    return spark.read.parquet(sink)
+    return ST.ingested(spark, sink).select(*RAW_COLUMNS)
 
 
-@register("stream_metrics")
-def q_stream_metrics(spark, sf):
+def _streamed_samples(spark, sf):
+    """(history, latest, schema): the sample stream over files that arrive in no order of time."""
     s = samples(spark, sf)
     landing = scratch_path(spark, "landed-samples")
-    s.repartitionByRange(8, "ts").write.mode("overwrite").parquet(landing)
+    s.repartition(8, F.xxhash64("event_id")).write.mode("overwrite").parquet(landing)
     hist, latest, ckpt = (scratch_path(spark, n) for n in ("metric-history", "metric-latest", "metric-ckpt"))
-    ST.metric_history(spark, landing, s.schema, hist, latest, ckpt, tie="event_id")
-    return spark.read.parquet(hist)
+    for _ in range(2):  # the rerun adds nothing
+        ST.metric_history(spark, landing, s.schema, hist, latest, ckpt, tie="event_id", files_per_batch=3)
+    return ST.current(spark, hist, s.schema), ST.current(spark, latest, s.schema)
+
+
+@register("stream_metrics", samples_sql(
+    "SELECT event_id, metric, ts, value, props FROM (SELECT *, row_number() OVER (PARTITION BY metric, value "
+    "ORDER BY ts, event_id) AS rn FROM samples WHERE value <> 0) WHERE rn = 1"))
+def q_stream_metrics(spark, sf):
+    return _streamed_samples(spark, sf)[0]
+
+
+@register("stream_latest", ORACLE["metric_latest"])
+def q_stream_latest(spark, sf):
+    return _streamed_samples(spark, sf)[1].select("metric", F.col("value").alias("latest_value"), F.col("ts").alias("latest_ts"))

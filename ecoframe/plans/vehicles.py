@@ -3,28 +3,44 @@
 ``raw -> src (not null + distinct) -> dedup -> fuel -> brand -> rare ->
 six outlier passes -> final (drop hybrid / bio fuels)``.
 
-The outlier chain writes its survivors to the shared work folder; its result
-(paths and pass reports) is remembered per session, input folder and rule
-set, so later stages (encoding, models, reports) read the written table
-instead of recomputing six passes.
+The fuel, brand and rare stages and the outlier passes are written to the shared work folder;
+what was written is remembered per session, input files and rule set, so the raw
+tables are read once and later stages (encoding, models, reports) read written tables.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ecoframe.operators import clean, outliers
 from ecoframe.schema import OUTLIER_GROUP, OUTLIER_ORDER, PROCESSED_COLUMNS, RAW_COLUMNS, rules
-from ecoframe.session import materialize
+from ecoframe.session import materialize, table_path
 from ecoframe.sources.fixtures import vehicles_raw
 
-_CHAIN_MEMO: dict = {}
+_MEMO: dict = {}
 
 
 def clear_memo() -> None:
-    _CHAIN_MEMO.clear()
+    _MEMO.clear()
+
+
+def _version(spark: SparkSession, sf: str) -> tuple:
+    """Sizes and modification times of the input files: a stage is written anew when they change."""
+    sc, out = spark.sparkContext, []
+    for name in ("lineitem", "part", "orders"):
+        path = sc._jvm.org.apache.hadoop.fs.Path(table_path(sf, name))
+        files = path.getFileSystem(sc._jsc.hadoopConfiguration()).listStatus(path)
+        out.append(tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)))
+    return tuple(out)
+
+
+def _once(spark: SparkSession, sf: str, stage: str, rule: str, make):
+    """What ``make()`` returns, computed once per session, input and rule set."""
+    key = (stage, spark.sparkContext.applicationId, sf, rule, _version(spark, sf))
+    if key not in _MEMO:
+        _MEMO[key] = make()
+    return _MEMO[key]
 
 
 def raw(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,49 +51,50 @@ def src(spark: SparkSession, sf: str) -> DataFrame:
     return clean.select_source(vehicles_raw(spark, sf, with_ord=False), RAW_COLUMNS)
 
 
+def _dedup(source: DataFrame) -> DataFrame:
+    return clean.dedup_first(source, exclude=["cn", "year"], order=["year", "cn"])
+
+
 def dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return clean.dedup_first(src(spark, sf), exclude=["cn", "year"], order=["year", "cn"])
+    return _dedup(src(spark, sf))
+
+
+def counted_fuel(spark: SparkSession, sf: str, rule: str = "v2"):
+    """(the fuel stage written once, rows of the src and dedup stages counted on the way)."""
+    def make():
+        seen, kept = Observation(), Observation()
+        one = F.count(F.lit(1)).alias("n")
+        stage = clean.clean_fuel(_dedup(src(spark, sf).observe(seen, one)).observe(kept, one), "ft", rule)
+        table = materialize(stage, f"fuel-{rule}")
+        return table, {"src": seen.get["n"], "dedup": kept.get["n"]}
+
+    return _once(spark, sf, "fuel", rule, make)
 
 
 def fuel(spark: SparkSession, sf: str, rule: str = "v2") -> DataFrame:
-    return clean.clean_fuel(dedup(spark, sf), "ft", rule)
+    """The raw tables are read once for this stage; every later stage reads written tables."""
+    return counted_fuel(spark, sf, rule)[0]
 
 
 def brand(spark: SparkSession, sf: str, rule: str = "v2") -> DataFrame:
-    return clean.clean_brand(fuel(spark, sf, rule), "mk", rule)
+    """Brand stage, written once: its dictionary and its rows both come from the written fuel stage."""
+    return _once(spark, sf, "brand", rule, lambda: materialize(
+        clean.clean_brand(fuel(spark, sf, rule), "mk", rule), f"brand-{rule}"))
 
 
 def rare(spark: SparkSession, sf: str, rule: str = "v2") -> DataFrame:
-    r = rules(rule)
-    return clean.keep_frequent(brand(spark, sf, rule), "mk", r.rare_min)
+    return clean.keep_frequent(brand(spark, sf, rule), "mk", rules(rule).rare_min)
 
 
 def cleaned(spark: SparkSession, sf: str, rule: str = "v2") -> DataFrame:
-    """The ``rare`` stage written once to the work folder (stage boundary):
-    every consumer (outlier passes, statistics) reads the written table."""
-    key = ("cleaned", spark.sparkContext.applicationId, sf, rule)
-    hit = _CHAIN_MEMO.get(key)
-    if hit is None:
-        r = rules(rule)
-        # the fuel stage is read twice below (brand dictionary, then the brand
-        # frequency table): keep it for the duration of this write only
-        f = fuel(spark, sf, rule).persist(StorageLevel.MEMORY_AND_DISK)
-        staged = clean.keep_frequent(clean.clean_brand(f, "mk", rule), "mk", r.rare_min)
-        hit = materialize(staged, f"cleaned-{rule}")
-        f.unpersist()
-        _CHAIN_MEMO[key] = hit
-    return hit
+    """The ``rare`` stage written once to the work folder."""
+    return _once(spark, sf, "cleaned", rule, lambda: materialize(rare(spark, sf, rule), f"cleaned-{rule}"))
 
 
 def chain(spark: SparkSession, sf: str, rule: str = "v2"):
     """(survivors of the six passes, pass reports), computed once per session."""
-    key = ("chain", spark.sparkContext.applicationId, sf, rule)
-    hit = _CHAIN_MEMO.get(key)
-    if hit is not None:
-        return hit
-    out, reports = outliers.outlier_chain(cleaned(spark, sf, rule), OUTLIER_ORDER, OUTLIER_GROUP)
-    _CHAIN_MEMO[key] = (out, reports)
-    return out, reports
+    return _once(spark, sf, "chain", rule, lambda: outliers.outlier_chain(
+        cleaned(spark, sf, rule), OUTLIER_ORDER, OUTLIER_GROUP))
 
 
 def final(spark: SparkSession, sf: str, rule: str = "v2") -> DataFrame:

@@ -127,14 +127,6 @@ API_RANGES = {
     "mass_kg": (500, 5000), "ec_cm3": (500, 8000), "ep_kw": (20, 1000),
     "erwltp_g_km": (0.0, 5.0), "fc": (0.0, 20.0),
 }
-# Source tables: provisional releases by list, final releases by year.
-PROVISIONAL_TABLES = ["co2cars_2021Pv23", "co2cars_2022Pv25", "co2cars_2023Pv27",
-                      "co2cars_2024Pv29", "co2cars_2025Pv31", "co2cars_2026Pv33"]
-FINAL_TABLES = {
-    "2021": "co2cars_2021Fv24", "2022": "co2cars_2022Fv26", "2023": "co2cars_2023Fv28",
-    "2024": "co2cars_2024Fv30", "2025": "co2cars_2025Fv32", "2026": "co2cars_2026Fv34",
-    "2027": "co2cars_2027Fv36", "2028": "co2cars_2028Fv38", "2029": "co2cars_2029Fv40",
-}
 PAGE_SIZE = 100_000
 # Random forest settings of the final model.
 RF_FINAL_PARAMS = {"bootstrap": False, "max_features": 0.75, "min_samples_leaf": 1,

@@ -53,6 +53,8 @@ def work_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return conf_dir.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="ecoframe-ckpt-")
     sc.setCheckpointDir(local)
     return (sc.getCheckpointDir() or local).rstrip("/")
@@ -75,4 +77,12 @@ def materialize(df, name: str):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df) -> None:
+    """Removes the files of a table that `materialize` wrote and nothing reads any more."""
+    sc = df.sparkSession.sparkContext
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        target = sc._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
