@@ -13,7 +13,8 @@ So every region (documents that share ``min_depth`` labels of a tree) that still
 several components is finished exactly: its members outside the region's largest component
 are compared with all members, in blocks, on their signatures, and every pair whose
 agreement is not more than four standard errors below the threshold is confirmed
-on the full sets.  Links inside one component can't change it, so none that matters is left
+on the full sets in the same task, which returns links only, one for each pair of a member and another
+component.  Links inside one component can't change it, so none that matters is left
 out.  A pair at the threshold shares no region in any tree with probability
 ``(1 - threshold ** min_depth) ** trees``, 7e-5 for the defaults.
 
@@ -39,7 +40,7 @@ from ecoframe.llm.components import components
 from ecoframe.llm.stages import Stages, partitions, salted_join
 
 TREES, DEPTH, MIN_DEPTH = 24, 8, 5
-BLOCK = 2048
+BLOCK = 1024
 
 _RNG = np.random.default_rng(7)
 _XOR = _RNG.integers(0, 2**63, TREES * DEPTH * 4, dtype=np.uint64) << np.uint64(1)
@@ -131,7 +132,7 @@ def neighbours(heads: DataFrame, stages: Stages, trees: int, depth: int, min_dep
     return pairs.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width: int, percent: int) -> DataFrame:
+def confirm(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose full sets have ``100 * intersection >= percent * union``."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,21 +155,25 @@ def confirm(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, width
                         yield pa.record_batch([batch.column("a").take(at), batch.column("b").take(at)], names=["a", "b"])
                     begin, size = end, 0
 
-    nodes = pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("id"))
-    texts = (docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
-             .join(nodes, "id", "left_semi"))
-    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
+    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}")).hint("merge")
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(check, "a long, b long").distinct()
 
 
-def rest_of_regions(heads: DataFrame, parts: DataFrame, pairs: DataFrame, stages: Stages, trees: int, depth: int,
-                    min_depth: int, percent: int) -> DataFrame:
-    """Pairs not yet tested that could join two components of one region."""
+def texts_of(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id and text of the documents in ``pairs``.  A merge join at every size: the documents are the
+    large side, and a plan that changed with the candidates' number would hide how it grows."""
+    nodes = pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("id"))
+    return (docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
+            .join(nodes.hint("merge"), "id", "left_semi"))
+
+
+def rest_of_regions(heads: DataFrame, parts: DataFrame, texts: DataFrame, stages: Stages, width: int, trees: int,
+                    depth: int, min_depth: int, percent: int) -> DataFrame:
+    """Links between two components of one region, at least one for every two that are linked."""
     share = percent / 100
     least = share - 4 * (share * (1 - share) / (trees * depth)) ** 0.5
-    nodes = pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("id"))
     labelled = stages.write(
-        heads.join(nodes, "id", "left_semi").join(parts, "id", "left")
+        heads.join(texts.select("id"), "id", "left_semi").join(parts, "id", "left")
         .select("id", "signature", F.coalesce("component", "id").alias("component")), "labelled")
     members = tree_rows(labelled, trees, depth).withColumn("region", F.expr(f"substring(key, 1, {2 * min_depth})"))
     by_part = members.groupBy("tree", "region", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -179,12 +184,12 @@ def rest_of_regions(heads: DataFrame, parts: DataFrame, pairs: DataFrame, stages
                .select("tree", "region", "top", F.ceil(F.col("n") / BLOCK).alias("blocks"),
                        F.ceil((F.col("n") - F.col("top_n")) / BLOCK).alias("strays")))
     placed = (salted_join(members.drop("key"), regions, ["tree", "region"], "id")
-              .join(labelled.select("id", "signature"), "id"))
+              .join(labelled.select("id", "signature"), "id").join(texts, "id"))
     every = placed.select(
-        "tree", "region", "id", "component", "signature", F.lit(False).alias("stray"),
+        "tree", "region", "id", "component", "signature", "text", F.lit(False).alias("stray"),
         F.pmod(F.xxhash64("id"), "blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("strays") - 1)).alias("against"))
     stray = placed.filter("component <> top").select(
-        "tree", "region", "id", "component", "signature", F.lit(True).alias("stray"),
+        "tree", "region", "id", "component", "signature", "text", F.lit(True).alias("stray"),
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.pmod(F.xxhash64("id"), "strays").alias("against"))
 
@@ -193,17 +198,32 @@ def rest_of_regions(heads: DataFrame, parts: DataFrame, pairs: DataFrame, stages
         ids, part, strays = rows["id"].to_numpy(), rows["component"].to_numpy(), rows["stray"].to_numpy()
         all_at, found = np.flatnonzero(~strays), []
         inner = labels[all_at].reshape(len(all_at), trees, depth)[:, :, :min_depth]
+        sets: dict[int, np.ndarray] = {}
+
+        def shingles_of(at: int) -> np.ndarray:
+            if at not in sets:
+                sets[at] = shingles.shingle_sets([(rows["text"].iat[at] or "").encode()], width)[0]
+            return sets[at]
+
         for i in np.flatnonzero(strays):
             same = (labels[all_at] == labels[i]).mean(1)
-            # A pair is given by the first tree whose region both share.
+            # A pair is tested in the first tree whose region both share.
             met = (inner == labels[i].reshape(trees, depth)[:, :min_depth]).all(2).argmax(1)
-            for j in all_at[(same >= least) & (part[all_at] != part[i]) & (met == key[0])]:
-                found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+            near = all_at[(same >= least) & (part[all_at] != part[i]) & (met == key[0])]
+            near, linked = near[np.argsort(-same[np.searchsorted(all_at, near)], kind="stable")], set()
+            mine = shingles_of(i)
+            for j in near:  # the likeliest first; one link to a component is enough
+                if part[j] not in linked:
+                    other = shingles_of(j)
+                    at = np.minimum(np.searchsorted(mine, other), len(mine) - 1)
+                    common = int((mine[at] == other).sum())
+                    if common * 100 >= percent * (len(mine) + len(other) - common):
+                        linked.add(part[j])
+                        found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    maybe = (every.unionByName(stray).groupBy("tree", "region", "block", "against")
-             .applyInPandas(compare, "a long, b long").distinct())
-    return maybe.join(pairs, ["a", "b"], "left_anti")
+    return (every.unionByName(stray).groupBy("tree", "region", "block", "against")
+            .applyInPandas(compare, "a long, b long").distinct())
 
 
 def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80,
@@ -215,19 +235,19 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     heads = stages.write(linkable.groupBy("digest", "n_shingles")
                          .agg(F.min("id").alias("id"), F.min_by("signature", "id").alias("signature")), "heads")
     pairs = stages.write(neighbours(heads, stages, trees, depth, min_depth), "pairs")
-    links = confirm(pairs, docs, id_col, text_col, width, percent)
+    texts = stages.write(texts_of(pairs, docs, id_col, text_col), "texts")
+    links = confirm(pairs, texts, width, percent)
     ids = linkable.select("id", "digest", "n_shingles").distinct()
     several = ids.join(ids.groupBy("id").count().filter("count > 1"), "id", "left_semi")
     repeated = (several.join(heads.select("digest", "n_shingles", F.col("id").alias("b")), ["digest", "n_shingles"])
                 .select(F.col("id").alias("a"), "b"))
     links = stages.write(links.union(repeated), "links")
     parts = components(links, stages, "parts")
-    more = stages.write(rest_of_regions(heads, parts, pairs, stages, trees, depth, min_depth, percent), "more-pairs")
+    more = stages.write(rest_of_regions(heads, parts, texts, stages, width, trees, depth, min_depth, percent), "more-links")
     if more.take(1):
-        further = confirm(more, docs, id_col, text_col, width, percent)
         # Found components stand for the links inside them.
-        parts = components(parts.select(F.col("id").alias("a"), F.col("component").alias("b")).union(further), stages, "all-parts")
-    stages.remove("neighbours", "pairs", "links", "labelled", "more-pairs")
+        parts = components(parts.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), stages, "all-parts")
+    stages.remove("neighbours", "pairs", "texts", "links", "labelled", "more-links")
     classes = (heads.select("digest", "n_shingles", "id").join(parts, "id", "left")
                .select("digest", "n_shingles", F.coalesce("component", "id").alias("component")))
     rows = salted_join(sketches.select("id", "n_shingles", "digest"), classes, ["digest", "n_shingles"], "id", "left")
