@@ -28,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ecoframe.llm.stages import salted_join
+
 SALTS = 32
 
 
@@ -62,7 +64,7 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .otherwise(F.col("group_size")).cast("long").alias("group_size"))
     members = (_rows(docs, id_col, text_col, salts)
                .groupBy("id", "digest", "digest2").agg(F.count(F.lit(1)).alias("copies")))
-    return (members.join(by_key, ["digest", "digest2"])
+    return (salted_join(members, by_key, ["digest", "digest2"], "id", salts=salts)
             .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
             .select(F.col("id").alias(id_col), "keep_id", "group_size",
                     (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
