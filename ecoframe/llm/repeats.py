@@ -10,17 +10,21 @@ sorted, and only anchors whose gram occurs twice take part.  What surrounds an a
 (``length - GRAM`` bytes before it, ``length`` from it on) is its content; every window
 over the anchor lies in it.
 
-1. Contents that occur twice are repeated as a whole; the counts say so.
-2. Different contents round one gram are fetched (one occurrence each) and put
-   through the enhanced suffix array: right contexts sorted, their
-   common-prefix lengths scanned with a stack into the interval tree, and inside every
-   interval the left contexts likewise.  An interval pair whose left extensions
-   differ is a maximal repeat, given with all its occurrences (`maximal_repeats`).
+1. A gram with one content is a repeat group of that whole content; its occurrences are counted.
+2. Different contents round one gram are fetched (one occurrence each; contents that occur more
+   often stand there twice) and put through the enhanced suffix array: right contexts sorted,
+   their common-prefix lengths scanned with a stack into the interval tree, and inside every
+   interval the left contexts likewise.  An interval pair whose left extensions differ is a
+   maximal repeat (`maximal_repeats`), written with all contents that hold it, one row each.
 3. A gram with more than ``MAX_CONTENTS`` different contents (a boundary of a very
-   common passage) is split: windows are dealt by how many bytes they begin before the
-   anchor, in ever narrower ranges, and grouped by the bytes that all windows of the range
-   share.  In a range of one, a content is a window, and counting decides.
-   Nothing is capped.
+   common passage) is done by aggregates (`crowded_members`): prefixes of the contexts that branch
+   are counted on both sides, and of their pairs those that branch on both sides are the same maximal
+   repeats.  Nothing is capped.
+
+Only a repeat with a window whose anchor this is counts (`anchored`): every occurrence of it has the
+anchor, so the group is complete.  `repeat_groups` gives the groups with one row per occurrence,
+`remove_repeats` the bytes that they cover.  A group reaches at most ``length - GRAM`` bytes before its anchor
+and ``length`` from it on; of a longer repeat every anchor has its own group, cut there.
 
 Defined cases: null is empty text; documents shorter than ``length`` keep all bytes; rows
 that repeat id and text repeat each other; rows that repeat an id are told apart
@@ -86,17 +90,22 @@ def window_minima(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n - width + 1], ahead[width - 1:n])
 
 
+def gram_order(sums: np.ndarray, gram: int) -> np.ndarray:
+    """Order of the grams, by which anchors are chosen; the lowest 24 bits are free for the place."""
+    order = ((sums[gram:] - sums[:-gram]) * _powers(len(sums))[1][:len(sums) - gram]) * np.uint64(0x9E3779B97F4A7C15)
+    order ^= order >> np.uint64(32)
+    order *= np.uint64(0xBF58476D1CE4E5B9)
+    return order & np.uint64(~((1 << 24) - 1) & (2**64 - 1))
+
+
 def anchors(raw: np.ndarray, limits: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(document, place in it, gram hash, content hash) of the anchors of documents that lie one after another."""
     none = (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2
     if len(raw) < length:
         return none
     sums = prefix_sums(raw)
-    up, down = _powers(len(sums))
-    order = ((sums[gram:] - sums[:-gram]) * down[:len(raw) - gram + 1]) * np.uint64(0x9E3779B97F4A7C15)
-    order ^= order >> np.uint64(32)
-    order *= np.uint64(0xBF58476D1CE4E5B9)
-    order = order & np.uint64(~((1 << 24) - 1) & (2**64 - 1)) | np.arange(len(order), dtype=np.uint64)
+    order = gram_order(sums, gram)
+    order |= np.arange(len(order), dtype=np.uint64)
     least = window_minima(order, length - gram + 1)
     begins = np.append(0, limits[:-1])
     rooms = limits - begins
@@ -113,7 +122,8 @@ def anchors(raw: np.ndarray, limits: np.ndarray, length: int, gram: int) -> tupl
 
 
 def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """gram, content, id, place: one row per anchor.  ``place`` holds bits of the text's hash above the offset."""
+    """gram, content, id, place, after: one row per anchor.  ``place`` holds bits of the text's hash above the offset,
+    ``after`` is the number of the content's bytes from the anchor on."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,11 +149,13 @@ def anchor_rows(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     found.append(anchors(np.frombuffer(b"".join(texts[a:b]), np.uint8), np.cumsum(sizes), length, gram))
                 for doc, place, g, c in found:
                     if len(doc):
+                        after = np.minimum(length, np.array([len(t) for t in texts[a:b]])[doc] - place)
                         yield pa.record_batch(
                             [pa.array(g.view(np.int64)), pa.array(c.view(np.int64)), pa.array(ids[a + doc]),
-                             pa.array(marks[a + doc] << 40 | place)], names=["gram", "content", "id", "place"])
+                             pa.array(marks[a + doc] << 40 | place), pa.array(after.astype(np.int32))],
+                            names=["gram", "content", "id", "place", "after"])
 
-    return docs.select("id", "mark", "text").mapInArrow(scan, "gram long, content long, id long, place long")
+    return docs.select("id", "mark", "text").mapInArrow(scan, "gram long, content long, id long, place long, after int")
 
 
 def _common(matrix: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -197,104 +209,145 @@ def maximal_repeats(left: list[bytes], right: list[bytes], length: int) -> Itera
                         yield before, depth, group
 
 
-def covered(left: list[bytes], right: list[bytes], length: int) -> list[tuple[int, int]]:
-    """Of each occurrence, the bytes (before the anchor, from it on) that repeats over the anchor cover; (0, 0): none.
-
-    All these repeats hold the anchor, so their union is one stretch, and of a repeat only its
-    longest left extension inside each interval matters: the two neighbours in left order."""
-    n = len(left)
-    order = sorted(range(n), key=right.__getitem__)
-    lcp = _common(_matrix([right[i] for i in order], max(map(len, right))), np.array([len(right[i]) for i in order]))
-    rank = np.empty(n, np.int64)
-    rank[sorted(range(n), key=left.__getitem__)] = np.arange(n)
-    lefts, sizes, order = _matrix(left, max(max(map(len, left)), 1)), np.array([len(x) for x in left]), np.array(order)
-    before, after = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for first, last, depth in lcp_intervals(lcp):
-        members = order[first:last + 1]
-        members = members[np.argsort(rank[members])]
-        lcs = _common(lefts[members], sizes[members])
-        longest = np.maximum(np.append(lcs, 0), np.append(0, lcs))
-        enough = longest + depth >= length
-        at = members[enough]
-        before[at] = np.maximum(before[at], longest[enough])
-        after[at] = np.maximum(after[at], depth)
-    return list(zip(before.tolist(), after.tolist(), strict=True))
-
-
-_SPANS = "id long, place long, begin int, end int"
-
-
-def _spans_batch(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-    a = np.array(rows, np.int64).reshape(-1, 4)
-    return pa.record_batch([pa.array(a[:, 0]), pa.array(a[:, 1]), pa.array(a[:, 2].astype(np.int32)),
-                            pa.array(a[:, 3].astype(np.int32))], names=["id", "place", "begin", "end"])
-
-
-def scan_groups(segments: DataFrame, length: int, by: list[str]) -> DataFrame:
-    """Spans (id, place, begin, end) of the repeats in every group of segments; groups are small."""
+def anchored(texts: list[bytes], befores: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of contents with the anchor after ``befores`` bytes: their hashes, and the least and most bytes before
+    the anchor of the windows whose anchor it is."""
+    reach = length - gram
+    sizes = np.array([len(t) for t in texts])
+    begins = np.cumsum(sizes) - sizes
+    sums = prefix_sums(np.frombuffer(b"".join(texts), np.uint8))
+    order = gram_order(sums, gram)
+    at = begins + befores
+    steps = np.arange(1, reach + 1)
+    own = order[at][:, None]
+    back, ahead = at[:, None] - steps, at[:, None] + steps
+    stop = (back < begins[:, None]) | (order[np.maximum(back, 0)] <= own)
+    most = np.where(stop.any(1), stop.argmax(1), reach)
+    stop = (ahead > (begins + sizes)[:, None] - gram) | (order[np.minimum(ahead, len(order) - 1)] < own)
+    hashes = substring_hashes(sums, begins, begins + sizes) ^ shingles.mix(befores.astype(np.uint64) + np.uint64(1))
+    return hashes.view(np.int64), reach - np.where(stop.any(1), stop.argmax(1), reach), most
+
+
+_MEMBERS = "group long, before int, after int, gram long, content long"
+
+
+def scan_groups(segments: DataFrame, length: int) -> DataFrame:
+    """group, before, after, gram, content: one row per maximal repeat and content that holds it.
+
+    ``group`` is the hash of its bytes.  The contents of one gram are few; rows leave as they are found."""
+
+    def repeats_of(rows: list[tuple]) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        twice = [r for r in rows for _ in range(2 if r[1] > 1 else 1)]
+        contents = np.array([r[0] for r in twice], np.int64)
+        for before, after, members in maximal_repeats([r[2] for r in twice], [r[3] for r in twice], length):
+            one = twice[members[0]]
+            if max(length - after, one[4]) <= min(before, one[5]):
+                text = np.frombuffer(one[2][:before][::-1] + one[3][:after], np.uint8)
+                name = substring_hashes(prefix_sums(text), np.array([0]), np.array([len(text)])).view(np.int64)[0]
+                yield name, before, after, np.unique(contents[members])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, group, out = None, [], []
-
-        def finish():
-            if len(group) > 1:
-                spans = covered([g[0] for g in group], [g[1] for g in group], length)
-                out.extend((g[2], g[3], -a, b) for g, (a, b) in zip(group, spans, strict=True) if b)
+        out, n = [], 0
+
+        def flush():
+            counts = [len(o[4]) for o in out]
+            columns = [np.repeat(np.array([o[i] for o in out], np.int64), counts) for i in range(4)]
+            columns.append(np.concatenate([o[4] for o in out]))
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+            return pa.record_batch([pa.array(c).cast(t) for c, t in zip(columns, types, strict=True)],
+                                   names=["group", "before", "after", "gram", "content"])
+
+        for key, rows in by_gram(batches):
+            for name, before, after, members in repeats_of(list(rows.values())):
+                out.append((name, before, after, key, members))
+                n += len(members)
+                if n > 20_000:
+                    yield flush()
+                    out, n = [], 0
+        if out:
+            yield flush()
 
+    def by_gram(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, tuple]]]:
+        key, rows = None, {}
         for batch in batches:
-            names = batch.schema.names
-            at = {c: batch.column(names.index(c)).to_pylist() for c in (*by, "left", "right", "id", "place")}
-            for i, k in enumerate(zip(*[at[c] for c in by], strict=True)):
+            for k, *row in zip(*[batch.column(i).to_pylist() for i in range(batch.num_columns)], strict=True):
                 if k != key:
-                    finish()
-                    key, group = k, []
-                group.append((at["left"][i], at["right"][i], at["id"][i], at["place"][i]))
-            if len(out) > 10_000:
-                yield _spans_batch(out)
-                out = []
-        finish()
-        if out:
-            yield _spans_batch(out)
+                    if rows:
+                        yield key, rows
+                    key, rows = k, {}
+                rows[row[0]] = row
+        if rows:
+            yield key, rows
 
     n = partitions(segments.sparkSession)
-    return (segments.select(*by, "left", "right", "id", "place").repartition(n, *by).sortWithinPartitions(*by)
-            .mapInArrow(run, _SPANS))
-
+    return (segments.select("gram", "content", "n", "left", "right", "low", "high").repartition(n, "gram")
+            .sortWithinPartitions("gram").mapInArrow(run, _MEMBERS))
 
-def _digest(*parts) -> int:
-    return int.from_bytes(hashlib.blake2b(repr(parts).encode(), digest_size=8).digest(), "big", signed=True)
 
+def crowded_members(segments: DataFrame, stages: Stages, length: int, gram: int) -> DataFrame:
+    """The rows of `scan_groups` for grams whose contents need not fit a task, by aggregates."""
 
-def split_ranges(segments: DataFrame, length: int, pieces: int) -> DataFrame:
-    """The segments of crowded groups, dealt by the number of bytes that windows have before the anchor.
+    def hashes(text: bytes) -> np.ndarray:
+        sums = prefix_sums(np.frombuffer(text, np.uint8))
+        ends = np.arange(len(text) + 1)
+        return substring_hashes(sums, np.zeros_like(ends), ends).view(np.int64)
 
-    A range [low, high] of a segment becomes ``pieces`` ranges; its new group is the bytes that all
-    windows of the range share, its content the bytes that they span."""
+    def following(text: bytes) -> np.ndarray:
+        """The byte after each prefix; -1: none, for the context ends."""
+        return np.append(np.frombuffer(text, np.uint8).astype(np.int32), -1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = {c: [] for c in ("gram", "content", "low", "high", "left", "right", "id", "place")}
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, 512) for b in batches for i in range(0, b.num_rows, 512)):
+            found = []
+            for r in batch.to_pylist():
+                for right, text, least in ((0, r["left"], 0), (1, r["right"], gram)):
+                    depth = np.arange(least, len(text) + 1)
+                    found.append((np.full(len(depth), r["gram"]), np.full(len(depth), r["content"]), np.full(len(depth), r["n"]),
+                                  np.full(len(depth), right), depth, hashes(text)[least:], following(text)[least:]))
+            if found:
+                yield pa.record_batch([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found, strict=True)],
+                                      names=["gram", "content", "n", "right", "depth", "hash", "next"])
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (b.slice(i, 64) for b in batches for i in range(0, b.num_rows, 64)):
+            found = []
             for r in batch.to_pylist():
-                step = -(-(r["high"] - r["low"] + 1) // pieces)
-                for low in range(r["low"], r["high"] + 1, step):
-                    high = min(low + step - 1, r["high"])
-                    core = r["left"][:low], r["right"][:length - high]
-                    if len(core[0]) < low or len(core[1]) < length - high:
-                        continue  # the document has no such window
-                    left, right = r["left"][:high], r["right"][:length - low]
-                    for c, v in (("gram", _digest(r["gram"], low, core)), ("content", _digest(left, right)), ("low", low),
-                                 ("high", high), ("left", left), ("right", right), ("id", r["id"]), ("place", r["place"])):
-                        rows[c].append(v)
-            if rows["id"]:
-                yield pa.record_batch([pa.array(rows[c], pa.binary() if c in ("left", "right") else
-                                                pa.int32() if c in ("low", "high") else pa.int64()) for c in rows], names=list(rows))
-
-    return (segments.select("gram", "low", "high", "left", "right", "id", "place")
-            .mapInArrow(run, "gram long, content long, low int, high int, left binary, right binary, id long, place long"))
-
-
-def repeated_spans(docs: DataFrame, stages: Stages, length: int, gram: int, max_contents: int) -> DataFrame:
-    """Spans (id, place of the anchor, begin, end relative to it) that cover all repeated bytes.
+                left, right = r["left"], r["right"]
+                b = np.array([d["depth"] for d in r["depths"] if not d["right"]], np.int64)
+                a = np.array([d["depth"] for d in r["depths"] if d["right"]], np.int64)
+                b, a = (x.ravel() for x in np.meshgrid(b, a))
+                good = (a + b >= length) & (np.maximum(length - a, r["low"]) <= np.minimum(b, r["high"]))
+                a, b = a[good], b[good]
+                sums = prefix_sums(np.frombuffer(left[::-1] + right, np.uint8))
+                name = substring_hashes(sums, len(left) - b, len(left) + a).view(np.int64)
+                found.append((name, b, a, np.full(len(a), r["gram"]), np.full(len(a), r["content"]), np.full(len(a), r["n"]),
+                              following(left)[b], following(right)[a]))
+            if found:
+                yield pa.record_batch([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found, strict=True)],
+                                      names=["group", "before", "after", "gram", "content", "n", "back", "ahead"])
+
+    def branches(column: str):
+        return (F.min(column) != F.max(column)) | (F.min(column) < 0)
+
+    node = ["gram", "right", "depth", "hash"]
+    rows = segments.select("gram", "content", "n", "left", "right").mapInArrow(
+        prefixes, "gram long, content long, n long, right long, depth long, hash long, next long")
+    often = stages.write(rows.groupBy(*node).agg(F.sum("n").alias("n"), branches("next").alias("parts"))
+                         .filter("n > 1 AND parts").select(*node), "branches")
+    depths = (rows.select(*node, "content").join(often, node, "left_semi").groupBy("gram", "content")
+              .agg(F.collect_list(F.struct("right", "depth")).alias("depths")))
+    found = stages.write(segments.join(depths, ["gram", "content"]).select(
+        "gram", "content", "n", "left", "right", "low", "high", "depths").mapInArrow(
+            pairs, "group long, before long, after long, gram long, content long, n long, back long, ahead long"), "pairs")
+    key = ["group", "before", "after", "gram"]
+    groups = found.groupBy(*key).agg(F.sum("n").alias("n"), (branches("back") & branches("ahead")).alias("parts")).filter("n > 1 AND parts")
+    return found.join(groups.select(*key), key, "left_semi").select(
+        "group", F.col("before").cast("int").alias("before"), F.col("after").cast("int").alias("after"), "gram", "content")
+
+
+def repeat_members(docs: DataFrame, stages: Stages, length: int, gram: int, max_contents: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The repeat groups of grams with several contents (group, before, after, gram, content: one row per content that
+    holds it), the grams and contents that are a group by themselves, and the anchors (gram, content, id, place, after).
 
     ``docs``: id, mark, text, packed."""
     reach = length - gram
@@ -304,54 +357,75 @@ def repeated_spans(docs: DataFrame, stages: Stages, length: int, gram: int, max_
     stages.remove("grams")
     contents = stages.write(shared.groupBy("gram", "content").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "place")).alias("one")), "contents")
-    again = contents.filter("n > 1").select("gram", "content")
-    whole = shared.join(again, ["gram", "content"], "left_semi").select(
-        "id", "place", F.lit(-reach).alias("begin"), F.lit(length).alias("end"))
-    crowd = stages.write(contents.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "crowd")
-    wanted = (contents.join(crowd, "gram").select("gram", "content", "kinds", "one.id", "one.place")
+    kinds = stages.write(contents.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")), "kinds")
+    alone = kinds.filter("kinds = 1").select("gram")
+    wanted = (contents.join(kinds.filter("kinds > 1"), "gram").select("gram", "content", "n", "kinds", "one.id", "one.place")
               .groupBy("id", F.shiftrightunsigned("place", 40).alias("mark"))
-              .agg(F.collect_list(F.struct("gram", "content", "kinds", "place")).alias("places")))
+              .agg(F.collect_list(F.struct("gram", "content", "n", "kinds", "place")).alias("places")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for doc, packed, places in zip(batch.column("id").to_pylist(), batch.column("packed").to_pylist(),
-                                           batch.column("places").to_pylist(), strict=True):
+        for docs in batches:
+            for packed, found in zip(docs.column("packed").to_pylist(), docs.column("places").to_pylist(), strict=True):
                 text = unpack.decompress(packed)
-                backward, n = text[::-1], len(text)
-                at = [p["place"] & _PLACE for p in places]
-                yield pa.record_batch(
-                    [pa.array([p["gram"] for p in places], pa.int64()), pa.array([p["kinds"] for p in places], pa.int64()),
-                     pa.array([0] * len(at), pa.int32()), pa.array([reach] * len(at), pa.int32()),
-                     pa.array([backward[n - p:n - p + reach] for p in at], pa.binary()),
-                     pa.array([text[p:p + length] for p in at], pa.binary()),
-                     pa.array([doc] * len(at), pa.int64()), pa.array([p["place"] for p in places], pa.int64())],
-                    names=["gram", "kinds", "low", "high", "left", "right", "id", "place"])
-
-    schema = "gram long, kinds long, low int, high int, left binary, right binary, id long, place long"
+                backward, size = text[::-1], len(text)
+                for places in (found[i:i + 1024] for i in range(0, len(found), 1024)):
+                    places = [p for p in places if p["place"] & _PLACE <= size - gram]
+                    at = [p["place"] & _PLACE for p in places]
+                    if not at:
+                        continue
+                    here, low, high = anchored([text[max(0, p - reach):p + length] for p in at],
+                                               np.minimum(np.array(at), reach), length, gram)
+                    batch = pa.record_batch(
+                        [*[pa.array([p[c] for p in places], pa.int64()) for c in ("gram", "content", "n", "kinds")],
+                         pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32)),
+                         pa.array([backward[size - p:size - p + reach] for p in at], pa.binary()),
+                         pa.array([text[p:p + length] for p in at], pa.binary())],
+                        names=["gram", "content", "n", "kinds", "low", "high", "left", "right"])
+                    yield batch.filter(pa.array(here == batch.column("content").to_numpy()))  # else another text of this id and mark
+
+    schema = "gram long, content long, n long, kinds long, low int, high int, left binary, right binary"
+    # An id and text that occur twice are fetched twice; they stand for one content.
     segments = stages.write(docs.select("id", "mark", "packed").join(wanted, ["id", "mark"])
-                            .select("id", "packed", "places").mapInArrow(cut, schema), "segments")
-    # An id and text that occur twice are fetched twice, which marks them again as the whole repeats they are.
-    spans = [whole, scan_groups(segments.filter(F.col("kinds") <= max_contents), length, ["gram"])]
-    busy = segments.filter(F.col("kinds") > max_contents)
-    for level, pieces in enumerate((8, 8, 8)):  # 137 window places: ranges of 18, 3 and 1
-        if not busy.take(1):
-            break
-        parts = stages.write(split_ranges(busy, length, pieces), f"parts-{level}")
-        counts = parts.groupBy("gram", "content").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "place")).alias("one"))
-        counts = stages.write(counts, f"counts-{level}")
-        spans.append(parts.join(counts.filter("n > 1").select("gram", "content"), ["gram", "content"], "left_semi")
-                     .select("id", "place", (-F.length("left")).alias("begin"), F.length("right").alias("end")))
-        kinds = stages.write(counts.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), f"kinds-{level}")
-        one = counts.select("gram", "content", "one.id", "one.place")
-        rest = stages.write(parts.join(one, ["gram", "content", "id", "place"], "left_semi").join(kinds, "gram"),
-                            f"rest-{level}")
-        spans.append(scan_groups(rest.filter(F.col("kinds") <= max_contents), length, ["gram"]))
-        busy = rest.filter(F.col("kinds") > max_contents)
-    out = spans[0]
-    for more in spans[1:]:
-        out = out.unionByName(more)
-    return out
+                            .select("packed", "places").mapInArrow(cut, schema), "segments")
+    members = scan_groups(segments.filter(F.col("kinds") <= max_contents), length)
+    crowd = segments.filter(F.col("kinds") > max_contents).dropDuplicates(["gram", "content"])
+    if crowd.take(1):
+        members = members.unionByName(crowded_members(crowd, stages, length, gram))
+    return stages.write(members, "members"), contents.join(alone, "gram", "left_semi").select("gram", "content"), shared
+
+
+def covered(members: DataFrame, alone: DataFrame, shared: DataFrame, length: int, gram: int) -> DataFrame:
+    """Spans (id, place of the anchor, begin, end relative to it) that the repeat groups cover.
+
+    All groups over an anchor hold it, so their union is one stretch."""
+    furthest = members.groupBy("gram", "content").agg(F.max("before").alias("before"), F.max("after").alias("end"))
+    whole = alone.select("gram", "content", F.lit(length - gram).alias("before"), F.lit(length).alias("end"))
+    return (shared.select("gram", "content", "id", "place").join(furthest.unionByName(whole), ["gram", "content"])
+            .select("id", "place", (-F.col("before")).alias("begin"), "end"))
+
+
+def repeat_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+                  gram: int = GRAM, max_contents: int = MAX_CONTENTS) -> DataFrame:
+    """The maximal repeat groups: group (hash of the repeated bytes), length, id, mark (24 bits of the text's hash), begin;
+    one row per occurrence.  Rows that repeat id and text have their occurrences once."""
+    stages = Stages(docs.sparkSession, "repeats")
+    plain = prepare(docs, id_col, text_col)
+    members, alone, shared = repeat_members(_packed(plain), stages, length, gram, max_contents)
+    offset = F.col("place").bitwiseAND(_PLACE)
+    before = F.least(offset, F.lit(length - gram))
+
+    @F.arrow_udf("long")
+    def name(content: pa.Array, before: pa.Array) -> pa.Array:
+        """A content's hash without the place of the anchor."""
+        return pa.array((content.to_numpy().view(np.uint64) ^ shingles.mix(before.to_numpy().astype(np.uint64) + np.uint64(1))).view(np.int64))
+
+    whole = shared.join(alone, ["gram", "content"], "left_semi").select(
+        name("content", before).alias("group"), (before + F.col("after")).cast("int").alias("length"), "id", "place", (offset - before).alias("begin"))
+    parts = shared.drop("after").join(members, ["gram", "content"]).select(
+        "group", (F.col("before") + F.col("after")).alias("length"), "id", "place", (offset - F.col("before")).alias("begin"))
+    return (whole.unionByName(parts).select("group", "length", F.col("id").alias(id_col),
+                                            F.shiftrightunsigned("place", 40).alias("mark"), "begin").distinct())
 
 
 def prepare(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -377,7 +451,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """id, n_bytes, n_removed, n_spans, kept_sha256 of every row; with_text: also the kept bytes and the spans."""
     stages = Stages(docs.sparkSession, "repeats")
     plain = prepare(docs, id_col, text_col)
-    spans = repeated_spans(_packed(plain), stages, length, gram, max_contents)
+    spans = covered(*repeat_members(_packed(plain), stages, length, gram, max_contents), length, gram)
     by_doc = (spans.groupBy("id", F.shiftrightunsigned("place", 40).alias("mark"))
               .agg(F.collect_set(F.struct(F.col("place").bitwiseAND(_PLACE).alias("place"), "begin", "end")).alias("spans")))
     rows = _packed(plain).drop("text").join(by_doc, ["id", "mark"], "left")

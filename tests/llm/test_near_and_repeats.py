@@ -211,3 +211,40 @@ def test_maximal_repeats_list_all_occurrences():
                             groups[frozenset(members)].add((a, b))
         want = {(m, max(a for a, _ in ab), max(b for _, b in ab)) for m, ab in groups.items()}
         assert got == want
+
+
+@pytest.mark.parametrize("most", [repeats.MAX_CONTENTS, 3])
+def test_repeat_groups_equal_brute_force(spark, most):
+    """Every repeat that ends or branches on both sides (within its anchor's reach), with every occurrence."""
+    length, gram, rnd = 12, 4, random.Random(3)
+    reach = length - gram
+    texts = ["".join(rnd.choice("ab") for _ in range(rnd.randint(0, 90))) for _ in range(25)]
+    texts += [texts[3][:40] + "cc" + texts[4][:30], texts[5], texts[5], "a" * 30, "", None, "x" + texts[6], texts[6][4:]]
+    places = defaultdict(list)
+    for i, t in enumerate(texts):
+        for p in range(len(t or "")):
+            for size in range(length, length + reach + 1):
+                if p + size <= len(t):
+                    places[t[p:p + size]].append((i, p))
+
+    def offsets(text):
+        order = repeats.gram_order(repeats.prefix_sums(np.frombuffer(text.encode(), np.uint8)), gram).tolist()
+        return {min(range(w, w + reach + 1), key=lambda k: (order[k], k)) for w in range(len(text) - length + 1)}
+
+    def ends(text, found, step):
+        beyond = [texts[i][p - 1:p] if step < 0 else texts[i][p + len(text):p + len(text) + 1] for i, p in found]
+        return "" in beyond or len(set(beyond)) > 1
+
+    want = set()
+    for text, found in places.items():
+        if len(found) > 1 and any(
+                o <= reach and len(text) - o <= length and (o == reach or ends(text, found, -1))
+                and (len(text) - o == length or ends(text, found, 1)) for o in offsets(text)):
+            want.add((len(text), frozenset(found)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = defaultdict(set)
+    for r in repeats.repeat_groups(docs, length=length, gram=gram, max_contents=most).collect():
+        assert (r["doc_id"], r["begin"]) not in got[r["group"], r["length"]]
+        got[r["group"], r["length"]].add((r["doc_id"], r["begin"]))
+    assert len(want) > 50 and len(got) == len(want)
+    assert {(size, frozenset(found)) for (_, size), found in got.items()} == want
