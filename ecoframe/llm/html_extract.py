@@ -4,12 +4,14 @@ The page is read as the event stream of the standard-library parser.  Block
 boundaries end a *line*; each line has its text, the number of tags met in it
 and hence a text-to-tag ratio.  The ratios are smoothed with a Gaussian over
 neighbouring lines and split in two clusters (1-d two-means); lines of the
-upper cluster mark content regions.  Structure decides a region's extent: if
-marked lines lie in ``article`` or ``main``, the whole of that container is
-the region (short paragraphs between long ones stay); otherwise it
-runs from the first to the last marked line.  Content of menus, page headers,
-footers, sidebars, notices, adverts, forms, scripts, styles and reader comments
-(by element, or by a word of class, id or role) makes no lines at all.
+upper cluster mark content regions.  Marks choose between ``article`` and ``main`` containers: those with
+marked lines are regions, unless more of the marked text lies outside of all containers.  Then, and on pages without
+containers, the region is the innermost block element that encloses all marked lines, so headings and short blocks at the
+ends stay.  Inside a region marks choose too: a div or section of several lines without a mark or heading goes, as do
+lists, tables, divs and lines of little but links.  Content of menus, page headers, footers, sidebars, notices, adverts,
+forms, scripts, styles and reader comments (by element, or by a word of class, id or role) makes no lines at all.  On a page
+that has no container outside of them, an element with such a word that holds an article or main is read all the same, and
+so is one that holds most of the page's text, unless it is one of comments, adverts or consent.
 
 Defined cases: null or empty html gives an empty text; tags left open are
 closed by their container; a page without markup is one block; very long pages are
@@ -43,16 +45,29 @@ UNWANTED = frozenset("ad ads advert adverts advertisement advertising sponsor sp
                      "navigation menu breadcrumb breadcrumbs footer masthead topbar cookie cookies consent notice alert popup "
                      "modal newsletter subscribe signup share sharing social related recommended comment comments "
                      "disqus respond reply replies pagination pager widget complementary contentinfo search".split())
+FOREIGN = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo cookie cookies consent comment "
+                    "comments disqus respond reply replies".split())
+SECTIONS = frozenset("article blockquote div dl main ol section table ul".split())
+WRAPPERS = frozenset(("div", "section"))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 UNWANTED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu".split())
 
 
 class LineParser(HTMLParser):
-    """Collects (text, tags, container) lines from parser events."""
+    """Collects (text, tags, container, section, heading, links) lines from parser events.
 
-    def __init__(self):
+    ``read``: start tags, by number, of elements with an unwanted word that are read all the same."""
+
+    def __init__(self, read: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int]] = []
-        self.stack: list[tuple[str, bool, int]] = []
+        self.lines: list[tuple[str, int, int, int, bool, int]] = []
+        self.stack: list[tuple[str, bool, int, int]] = []
+        self.sections: list[tuple[int, str]] = [(-1, "body")]  # (enclosing section, tag)
+        self.section, self.heading, self.links = 0, False, 0
+        self.read = read
+        self.opened = 0  # start tags met
+        self.named: dict[int, list] = {}  # of elements with an unwanted word, by number: characters, holds an article or main, is foreign
+        self.within, self.mute = -1, 0  # the skipped one of them that is open, and the depth from which its text doesn't count
         self.skipping = 0
         self.container, self.containers = 0, 0
         self.text: list[str] = []
@@ -65,8 +80,8 @@ class LineParser(HTMLParser):
     def end_line(self) -> None:
         if self.text:
             if text := " ".join("".join(self.text).split()):
-                self.lines.append((text, self.tags, self.container))
-                self.tags = 0
+                self.lines.append((text, self.tags, self.container, self.section, self.heading, self.links))
+                self.tags, self.heading, self.links = 0, False, 0
             self.text = []
 
     def unwanted(self, tag: str, attrs: list) -> bool:
@@ -76,7 +91,11 @@ class LineParser(HTMLParser):
             return False
         for name, value in attrs:
             if name in ("class", "id") and value:
-                if tag not in CONTAINERS and not UNWANTED.isdisjoint(re.split(r"[\s_-]+", value.lower())):
+                if tag not in CONTAINERS and (words := UNWANTED.intersection(re.split(r"[\s_-]+", value.lower()))):
+                    if self.opened in self.read:
+                        continue
+                    self.named[self.opened] = [0, False, not FOREIGN.isdisjoint(words)]
+                    self.within, self.mute = self.opened, 0
                     return True
                 if tag == "article" and "comment" in value.lower():
                     return True
@@ -87,15 +106,22 @@ class LineParser(HTMLParser):
         return False
 
     def pop(self) -> None:
-        tag, skipped, outer = self.stack.pop()
+        tag, skipped, outer, section = self.stack.pop()
         self.skipping -= skipped
+        if self.within >= 0:
+            if not self.skipping:
+                self.within = -1
+            elif len(self.stack) < self.mute:
+                self.mute = 0
         if self.container != outer:
             self.end_line()
             self.container = outer
         elif tag in BLOCKS and not self.skipping:
             self.end_line()
+        self.section = section
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self.opened += 1
         if tag in BLOCKS or tag in CLOSES:
             closed = CLOSES.get(tag, set()) | ({"p"} if tag in BLOCKS else set())
             for depth in range(len(self.stack) - 1, -1, -1):
@@ -106,6 +132,11 @@ class LineParser(HTMLParser):
                     break
                 if name in LISTS or name in CONTAINERS or name in SKIPPED or name in ("div", "section", "body"):
                     break
+        if self.within >= 0 and not self.mute and tag not in VOID:
+            if tag in SKIPPED:
+                self.mute = len(self.stack) + 1
+            elif tag in CONTAINERS and not any(n in ("class", "id") and v and "comment" in v.lower() for n, v in attrs):
+                self.named[self.within][1] = True
         skipped = not self.skipping and self.unwanted(tag, attrs) or bool(self.skipping)
         if not skipped:
             if tag in BLOCKS:
@@ -113,11 +144,16 @@ class LineParser(HTMLParser):
             elif tag in SPACES:
                 self.text.append(" ")
             self.tags += 1
+            self.heading |= tag in HEADINGS
+            self.links += tag == "a"
         elif not self.skipping and tag not in VOID:
             self.end_line()
         if tag in VOID:
             return
-        self.stack.append((tag, skipped, self.container))
+        self.stack.append((tag, skipped, self.container, self.section))
+        if tag in SECTIONS and not skipped:
+            self.sections.append((self.section, tag))
+            self.section = len(self.sections) - 1
         self.skipping += skipped
         if tag in CONTAINERS and not skipped and not self.container:
             self.containers += 1
@@ -140,6 +176,8 @@ class LineParser(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.skipping:
             self.text.append(data)
+        elif self.within >= 0 and not self.mute:
+            self.named[self.within][0] += len(data.strip())
 
 
 def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -164,30 +202,84 @@ def upper_cluster(values: np.ndarray, rounds: int = 50) -> np.ndarray:
     return values > (low + high) / 2
 
 
+def read_lines(html: str) -> LineParser:
+    """The parsed page; read again with the unwanted elements that turn out to hold its content."""
+    read: frozenset[int] = frozenset()
+    while True:
+        parser = LineParser(read)
+        parser.feed(html)
+        parser.close()
+        parser.end_line()
+        if not parser.named or any(line[2] for line in parser.lines):
+            return parser
+        whole = sum(len(line[0]) for line in parser.lines) + sum(n for n, _, _ in parser.named.values())
+        more = {i for i, (n, holds, foreign) in parser.named.items() if holds or 2 * n > whole and not foreign}
+        if not more:
+            return parser
+        read |= more  # what lies inside them is met in the next round
+
+
 def main_text(html: str | None, sigma: float = 1.0) -> str:
     """The text blocks of the content regions, joined by blank lines."""
     if not html:
         return ""
-    parser = LineParser()
-    parser.feed(html)
-    parser.close()
-    parser.end_line()
-    lines = parser.lines
+    parser = read_lines(html)
+    lines, sections = parser.lines, parser.sections
     if not lines:
         return ""
-    ratios = np.array([len(text) / max(1, tags) for text, tags, _ in lines])
+    ratios = np.array([len(line[0]) / max(1, line[1]) for line in lines])
     marked = upper_cluster(smooth(np.log1p(ratios), sigma))
-    inside = np.array([c for _, _, c in lines])
-    if inside.any():
+    sizes = np.array([len(line[0]) for line in lines])
+    inside = np.array([line[2] for line in lines])
+    if inside.any() and (2 * sizes[marked & (inside > 0)].sum() >= sizes[marked].sum()):
         regions = set(inside[marked & (inside > 0)].tolist()) or set(inside[inside > 0].tolist())
         taken = np.array([c in regions for c in inside.tolist()])
     else:
-        at = np.flatnonzero(marked)
-        taken = np.zeros(len(lines), bool)
-        taken[at[0]:at[-1] + 1] = True
+        shared = None
+        for i in np.flatnonzero(marked):
+            path = enclosing(sections, lines[i][3])
+            shared = path if shared is None else [x for x in shared if x in path]
+        while shared[0] and sections[shared[0]][1] not in WRAPPERS | CONTAINERS:
+            shared = shared[1:]  # a list or quotation is part of a text
+        while len(shared) > 1 and sum(shared[0] in enclosing(sections, line[3]) for line in lines) == 1:
+            shared = shared[1:]  # a wrapper of one line
+        taken = np.array([shared[0] in enclosing(sections, line[3]) for line in lines])
+    taken &= ~unmarked_blocks(lines, sections, marked)
     return "\n\n".join(lines[i][0] for i in np.flatnonzero(taken))
 
 
+def enclosing(sections: list[tuple[int, str]], at: int) -> list[int]:
+    """A section and those around it, the innermost first; the last is the page."""
+    path = []
+    while at >= 0:
+        path.append(at)
+        at = sections[at][0]
+    return path
+
+
+def unmarked_blocks(lines: list[tuple], sections: list[tuple[int, str]], marked: np.ndarray) -> np.ndarray:
+    """Mask of the lines in blocks without a marked line that are several lines under no heading, or little but links."""
+    def linked(rows: list[tuple]) -> bool:
+        links = sum(row[5] for row in rows)
+        return links > 1 and 2 * links > sum(len(row[0].split()) for row in rows)
+
+    out = np.zeros(len(lines), bool)
+    if marked.all():
+        return out
+    members: dict[int, list[int]] = {}
+    for i, line in enumerate(lines):
+        out[i] = not marked[i] and not line[4] and linked([line])
+        for at in enclosing(sections, line[3])[:-1]:
+            members.setdefault(at, []).append(i)
+    for at, rows in members.items():
+        if sections[at][1] not in CONTAINERS and not marked[rows].any():
+            found = [lines[i] for i in rows]
+            plain = not any(line[4] for line in found)
+            if linked(found) or plain and len(found) > 1 and sections[at][1] in WRAPPERS:
+                out[rows] = True
+    return out
+
+
 def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"),
                   sigma: float = 1.0) -> DataFrame:
     """Columns ``keep``, then text and n_chars (code points)."""

@@ -39,6 +39,28 @@ def test_main_text_cases(page, text):
     assert html_extract.main_text(page) == text
 
 
+HEAD, THICK, END = "A title of this page", "word and more words " * 50, "A closing word for the reader."
+
+
+@pytest.mark.parametrize("page, kept", [
+    # no container: the enclosing block keeps its heading and its short end
+    (f"<h1>{HEAD}</h1><p>{THICK}</p><p>{THICK}</p><p>{END}</p>", [HEAD, THICK, THICK, END]),
+    (f"<div><ul><li><a>Home</a><li><a>News</a><li><a>Shop</a></ul></div><div><h1>{HEAD}</h1><p>{THICK}</p><p>{THICK}</p><p>{END}</p></div>"
+     "<div><p>One</p><p>Two</p></div>", [HEAD, THICK, THICK, END]),
+    # the ratio decides inside a container
+    (f"<article><h1>{HEAD}</h1><p>{THICK}</p><p>{THICK}</p><p>{END}</p><div><p><a>x</a></p><p><a>y</a></p><p><a>z</a></p></div></article>",
+     [HEAD, THICK, THICK, END]),
+    # and between containers and the rest
+    (f"<article><a>a</a><b>b</b></article><p>x</p><div><h1>{HEAD}</h1><p>{THICK}</p><p>{THICK}</p><p>{END}</p></div>", [HEAD, THICK, THICK, END]),
+    # layout classes on what holds the content
+    (f"<div class='sidebar-layout'><article><h1>{HEAD}</h1><p>{THICK}</p></article><div class=sidebar>{THICK}</div></div>", [HEAD, THICK]),
+    (f"<div class='page widget'><h1>{HEAD}</h1><p>{THICK}</p><p>{THICK}</p></div><p>x</p>", [HEAD, THICK, THICK]),
+    (f"<p>{THICK}</p><div class=comments><article class=comment>{THICK}</article><p>{THICK}</p></div>", [THICK]),
+])
+def test_main_text_by_ratio(page, kept):
+    assert html_extract.main_text(page) == "\n\n".join(k.strip() for k in kept)
+
+
 def test_extract_repeated_rows_and_empty_table(spark):
     schema = "page_id long, url string, html string, text string, n_chars int"
     pages = spark.createDataFrame([(1, "u", "<p>a</p>", "x", 1)] * 2 + [(None, None, None, None, None)], schema)
