@@ -4,6 +4,8 @@ Documents fall into cells of (source, language, topic).  One aggregation gives
 documents and tokens per cell; raking scales the cells' token weights until every
 marginal has its target share; a document's probability is its cell's weight
 divided by its tokens, scaled so that the largest is 1 (or to a token budget).
+With exact targets the scarcest target value bounds the whole sample; ``min_share`` keeps at least that share of the
+tokens instead: probabilities rise together and stop at 1, and targets that are then not met are logged (`unmet`).
 Whether a document stays is decided by a hash of its id, so the sample is
 repeatable and needs no shuffle.
 
@@ -21,6 +23,7 @@ are carried unchanged, the operator's own columns replace columns of the same na
 
 from __future__ import annotations
 
+import logging
 from itertools import product
 
 import numpy as np
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 
 from ecoframe.llm import shingles
 
+_LOG = logging.getLogger(__name__)
 OTHER = "other"
 ADDED = ("topic", "tokens", "cell_weight", "keep_probability", "sampled")
 
@@ -80,8 +84,38 @@ def rake(mass: np.ndarray, wanted: list[np.ndarray], rounds: int = 1_000, tolera
     return weight
 
 
-def fit_cells(cells: list[dict], targets: dict[str, dict[str, float]], token_budget: float | None = None) -> list[dict]:
-    """Adds weight (share of tokens after raking) and probability to cell rows of categories, docs, tokens."""
+def raised_scale(mass: np.ndarray, ratio: np.ndarray, goal: float) -> float:
+    """Least factor of the ratios with which the tokens kept, probabilities capped at 1, reach the goal, as far as they can."""
+    some = ratio > 0
+    order = np.argsort(-ratio[some])
+    mass, ratio = mass[some][order], ratio[some][order]  # cells reach 1 in this order
+    full = np.append(0.0, np.cumsum(mass))
+    rest = np.append(np.cumsum((mass * ratio)[::-1])[::-1], 0.0)
+    for k, r in enumerate(ratio):
+        if full[k] + rest[k] / r >= goal:  # before cell k reaches 1
+            return float((goal - full[k]) / rest[k])
+    return float(1 / ratio[-1]) if len(ratio) else 0.0
+
+
+def unmet(cells: list[dict], targets: dict[str, dict[str, float]], tolerance: float = 1e-3) -> list[dict]:
+    """name, value, wanted, kept: the marginal shares of fitted cells that the probabilities miss."""
+    total = sum(c["tokens"] * c["keep_probability"] for c in cells)
+    out = []
+    for name, target in targets.items():
+        for value in dict.fromkeys([*target, OTHER]):
+            mine = [c for c in cells if c[name] == value]
+            wanted = sum(c["cell_weight"] for c in mine)
+            kept = sum(c["tokens"] * c["keep_probability"] for c in mine) / total if total else 0.0
+            if abs(wanted - kept) > tolerance:
+                out.append({"name": name, "value": value, "wanted": wanted, "kept": kept})
+    return out
+
+
+def fit_cells(cells: list[dict], targets: dict[str, dict[str, float]], token_budget: float | None = None,
+              min_share: float | None = None) -> list[dict]:
+    """Adds weight (share of tokens after raking) and probability to cell rows of categories, docs, tokens.
+
+    ``min_share``: of the tokens at least this share (no more than the budget) stays, if need be off the targets."""
     names = list(targets)
     values = [[*t, *([] if OTHER in t else [OTHER])] for t in targets.values()]
     mass = np.zeros([len(v) for v in values])
@@ -102,6 +136,9 @@ def fit_cells(cells: list[dict], targets: dict[str, dict[str, float]], token_bud
     scale = 1 / ratio.max() if ratio.max() > 0 else 0.0
     if token_budget is not None and total:
         scale = min(scale, token_budget / weight.sum()) if weight.sum() else scale
+    if min_share is not None and total:
+        goal = min_share * total if token_budget is None else min(min_share * total, token_budget)
+        scale = max(scale, raised_scale(mass.ravel(), ratio.ravel(), goal))
     out = []
     for c in cells:
         i = at[tuple(c[n] for n in names)]
@@ -120,7 +157,7 @@ def chance_of(id_column: Column, seed: str) -> Column:
 
 def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id",
         text_col: str = "text", topic: str | None = None, token_budget: float | None = None,
-        seed: str = "mix") -> DataFrame:
+        seed: str = "mix", min_share: float | None = None) -> DataFrame:
     """All rows with topic, tokens, cell_weight, keep_probability and sampled.
 
     ``topic`` names a column to use as topic; None: `length_topic`.  Every other
@@ -135,9 +172,12 @@ def mix(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_
     keys = [f"_{n}_cell" for n in targets]
     cells = (counted.select(*cell, "_tokens").groupBy(*keys)
              .agg(F.count(F.lit(1)).alias("docs"), F.sum("_tokens").alias("tokens")).collect())  # bounded by the targets
-    fitted = fit_cells([{n: r[f"_{n}_cell"] for n in targets} | {"docs": r["docs"], "tokens": r["tokens"]} for r in cells], targets)
-    if token_budget is not None:
-        fitted = fit_cells([{k: c[k] for k in (*targets, "docs", "tokens")} for c in fitted], targets, token_budget)
+    fitted = fit_cells([{n: r[f"_{n}_cell"] for n in targets} | {"docs": r["docs"], "tokens": r["tokens"]} for r in cells], targets,
+                       token_budget, min_share)
+    whole = sum(c["tokens"] for c in fitted)
+    _LOG.info("the mix keeps %.2f %% of %d words", 100 * sum(c["tokens"] * c["keep_probability"] for c in fitted) / max(whole, 1), whole)
+    for miss in unmet(fitted, targets):
+        _LOG.warning("share of %(name)s %(value)s: %(wanted).4f wanted, %(kept).4f kept", miss)
     spark = docs.sparkSession
     schema = ", ".join(f"`{k}` string" for k in keys) + ", cell_weight double, keep_probability double"
     table = spark.createDataFrame([(*[c[n] for n in targets], c["cell_weight"], c["keep_probability"]) for c in fitted], schema)

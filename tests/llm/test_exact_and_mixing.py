@@ -59,6 +59,25 @@ def test_missing_values_and_unnamed_categories():
     assert got[2]["keep_probability"] == 1.0
 
 
+def test_a_scarce_value_does_not_empty_the_mix(caplog, spark):
+    cells = [{"a": "rare", "docs": 1, "tokens": 300}] + [{"a": f"s{i}", "docs": 1000, "tokens": 1_000_000} for i in range(3)]
+    targets = {"a": {"rare": 1.0, "s0": 1.0, "s1": 1.0, "s2": 1.0}}
+    kept = lambda got: sum(c["tokens"] * c["keep_probability"] for c in got)
+    exact = mixing.fit_cells(cells, targets)
+    assert kept(exact) == pytest.approx(1200) and not mixing.unmet(exact, targets)
+    for share, budget, want in ((0.5, None, 0.5 * 3_000_300), (0.5, 1e6, 1e6), (1.0, None, 3_000_300), (1e-5, None, 1200)):
+        got = mixing.fit_cells(cells, targets, budget, share)
+        assert kept(got) == pytest.approx(want) and got[0]["keep_probability"] == 1.0
+        assert got[1]["keep_probability"] == pytest.approx(got[3]["keep_probability"])
+    miss = {m["value"]: m for m in mixing.unmet(mixing.fit_cells(cells, targets, None, 0.5), targets)}
+    assert miss["rare"]["wanted"] == pytest.approx(0.25) and miss["rare"]["kept"] == pytest.approx(300 / 1_500_150)
+    docs = rows(spark, [(1, "w " * 10, "en", "rare", 1)] + [(i, "w " * 100, "en", "much", 1) for i in range(2, 200)],
+                "doc_id long, text string, lang string, source string, n int")
+    out = mixing.mix(docs, {"source": {"rare": 1.0, "much": 1.0}}, min_share=0.5)
+    assert out.selectExpr("sum(tokens * keep_probability) / sum(tokens)").first()[0] == pytest.approx(0.5)
+    assert "share of source rare" in caplog.text
+
+
 def test_mix_is_repeatable_and_carries_columns(spark):
     schema = DOCS + ", tokens string, _chance int, topic string"
     data = [(i, "w " * (i % 300) if i % 50 else None, ["en", "de", None][i % 3], f"src{i % 4}", 1, "t", 7, "old") for i in range(600)]
