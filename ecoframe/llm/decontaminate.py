@@ -13,9 +13,9 @@ Every text is filtered whole, where it lies: there is no shuffle.  The benchmark
 q-gram table is broadcast in blocks of at most ``block_chars`` characters; a
 larger benchmark makes more blocks, each of which sees all texts.
 
-Defined cases: null and empty texts have no matches; items that are null, have
-no id, or have fewer than ``min_item_chars`` characters are no evidence and are
-ignored; equal items are reported each under their own id; an empty
+Defined cases: null and empty texts have no matches; items of fewer than ``min_item_chars``
+characters match without edits and between word boundaries only; items that are null, have no id, or
+have fewer than q characters are no evidence and are ignored; equal items are reported each under their own id; an empty
 benchmark marks nothing; repeated rows are judged each; columns of the documents are
 carried by `clean_rows` and may have any names.
 """
@@ -96,6 +96,11 @@ def align(item: np.ndarray, text: np.ndarray, low: int, width: int, anchor: int
     return int(row[k]), low + k + m
 
 
+def joined(text: str, at: int) -> bool:
+    """Whether a place lies inside a word."""
+    return 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
+
+
 class Index:
     """The q-gram table of a block of benchmark items."""
 
@@ -103,12 +108,13 @@ class Index:
                  min_chars: int = MIN_ITEM_CHARS):
         self.q = q
         kept = [(i, t) for i, t in ((i, normalise(t).strip()) for i, t in items if i is not None)
-                if len(t) >= max(min_chars, q)]
+                if len(t) >= q]
         self.ids, self.texts = [i for i, _ in kept], [t for _, t in kept]
         self.chars = [codes(t) for t in self.texts]
         size = np.array([len(c) for c in self.chars], np.int64)
         # At most as many edits as leave one q-gram whole.
-        self.edits = np.minimum((size * edit_rate).astype(np.int64), (size - q) // q)
+        self.short = size < min_chars
+        self.edits = np.where(self.short, 0, np.minimum((size * edit_rate).astype(np.int64), (size - q) // q))
         self.bound = size - q + 1 - q * self.edits
         hashes = [gram_hashes(c, q) for c in self.chars]
         flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
@@ -153,6 +159,11 @@ class Index:
     def verify(self, text: str, chars: np.ndarray, item: int, low: int) -> tuple[int, int, int] | None:
         """(start, end, edits) of the item in a text, on the diagonals of a band that begins at ``low``."""
         e, m = int(self.edits[item]), len(self.chars[item])
+        if self.short[item]:
+            for at in range(max(0, low), low + 2):  # the diagonals of its band
+                if text.startswith(self.texts[item], at) and not joined(text, at) and not joined(text, at + m):
+                    return at, at + m, 0
+            return None
         found = text.find(self.texts[item], max(0, low), max(0, low + 2 * (e + 1) + m))
         if found >= 0:
             return found, found + m, 0

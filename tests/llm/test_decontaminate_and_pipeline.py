@@ -52,6 +52,14 @@ def test_matches_equal_brute_force(seed):
                 assert r["edits"] == distance == edits_within(item, plain[r["start"]:r["end"]])
 
 
+def test_short_items_match_whole_words_exactly():
+    index = decontaminate.Index([(1, "Who wrote Hamlet?"), (2, "capital of france"), (3, "too short")])
+    texts = ["so: who WROTE\nhamlet? me", "who wrote hamlet", "the capital of france.", "capital of frances, but capital of france",
+             "xcapital of france", "capital of franca", "too short", "who wrote hamlet?"]
+    got = [[(r["item_id"], r["start"], r["end"], r["edits"]) for r in found] for found in index.matches(texts)]
+    assert got == [[(1, 4, 21, 0)], [], [(2, 4, 21, 0)], [(2, 24, 41, 0)], [], [], [], [(1, 0, 17, 0)]]
+
+
 def test_report_and_clean_rows(spark):
     item = "The quick brown fox jumps over the lazy dog while the cat looks on."
     bench = spark.createDataFrame([(1, item), (2, item), (3, None), (None, item), (4, "short")], "item_id long, text string")
