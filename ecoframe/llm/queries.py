@@ -7,7 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ecoframe.llm import decontaminate, exact_dedup, html_extract, mixing, near_dedup, quality, repeats, token_counts, toxicity, warc
+from ecoframe.llm import (
+    centroids, decontaminate, exact_dedup, html_extract, language, mixing, near_dedup, quality, repeats, token_counts, toxicity, warc,
+    whitening,
+)
 from ecoframe.session import scratch_path
 
 
@@ -61,6 +64,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_report(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_report(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extract": op1_html_extract,
     "op2_quality": op2_quality,
@@ -72,9 +88,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_centroids": op11_centroids,
+    "op12_whitening": op12_whitening,
+    "op13_language_id": op13_language_id,
 }
 
 ORACLE: dict[str, str] = {
     "op4_warc": warc.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op11_centroids": centroids.ORACLE_SQL,
 }
