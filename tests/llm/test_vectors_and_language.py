@@ -13,7 +13,7 @@ from ecoframe.llm import eigen
 from ecoframe.llm import language as L
 from ecoframe.llm import whitening as W
 from ecoframe.llm.queries import QUERIES
-from tests_llm_paths import SF_SMALL
+from tests_llm_paths import SF
 
 VEC = "vec_id long, embedding array<float>, label int"
 
@@ -101,8 +101,8 @@ def test_clusters_of_few_or_no_vectors(spark):
 
 
 def test_cluster_query_covers_the_table(spark):
-    out = QUERIES["op11_centroids"](spark, SF_SMALL)
-    table = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    out = QUERIES["op11_centroids"](spark, SF)
+    table = spark.read.parquet(f"{SF}/embeddings.parquet")
     want, _ = lloyd([(r["vec_id"], r["embedding"]) for r in table.collect()])
     assert clusters(out) == sorted(want, key=repr)
 
@@ -183,8 +183,8 @@ def test_deviation_beyond_a_long_is_null():
 
 
 def test_whitening_query(spark):
-    out = QUERIES["op12_whitening"](spark, SF_SMALL)
-    table = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
+    out = QUERIES["op12_whitening"](spark, SF)
+    table = spark.read.parquet(f"{SF}/embeddings.parquet")
     white = check_whitening(out, [(r["vec_id"], r["embedding"]) for r in table.collect()])
     assert white.shape == (table.count(), 16)
 
@@ -340,8 +340,8 @@ def test_small_memory_changes_nothing():
 
 
 def test_language_query_held_out_accuracy(spark):
-    out = QUERIES["op13_language_id"](spark, SF_SMALL)
-    truth = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "lang")
+    out = QUERIES["op13_language_id"](spark, SF)
+    truth = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     assert out.count() == truth.count()
     rows = out.join(truth, "doc_id").filter("held_out AND lang IS NOT NULL").collect()
     assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.95 * len(rows) > 0
