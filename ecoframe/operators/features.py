@@ -20,10 +20,16 @@ def categories(df: DataFrame, col: str) -> DataFrame:
     return df.select(c).filter(c.isNotNull()).distinct().orderBy(c)
 
 
-def category_list(trained: DataFrame, col: str) -> list:
+MAX_CATEGORIES = 10_000  # more columns than this are no schema
+
+
+def category_list(trained: DataFrame, col: str, most: int = MAX_CATEGORIES) -> list:
     """Sorted values of a trained category table.  They become column names, so
-    the driver needs them; for columns of unknown cardinality use the vector encoding."""
-    return [r[0] for r in categories(trained, col).collect()]
+    the driver needs them: more than ``most`` are an error, and the vector encoding is the form to use."""
+    found = [r[0] for r in categories(trained, col).limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"more than {most} values of {col}: not a categorical column")
+    return found
 
 
 def onehot_wide(df: DataFrame, col: str, prefix: str | None = None, cats: list | None = None) -> DataFrame:

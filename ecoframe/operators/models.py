@@ -12,31 +12,34 @@ import json
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ecoframe.functions.expressions import col_of
 from ecoframe.operators.evaluate import regression_metrics
-from ecoframe.operators.features import category_list, onehot_vector_model, onehot_wide
+from ecoframe.operators.features import onehot_vector_model, onehot_wide
+from ecoframe.operators.forest import min_split_forest
 from ecoframe.operators.knn import knn_regress
+from ecoframe.operators.linear import LeastSquares
 from ecoframe.schema import KNN_K, RF_FINAL_PARAMS
+from ecoframe.session import materialize
 
-# MLlib has no min-split parameter; its deepest tree has 30 levels, and 256 bins are as fine
-# as its candidate splits get here.
+# MLlib's deepest tree has 30 levels, and 256 bins are as fine as its candidate splits get here.
+# It has no least split size: `fit_model` prunes the final forest by RF_FINAL_MIN_SPLIT.
 DEPTH = dict(maxDepth=30, maxBins=256, maxMemoryInMB=512, cacheNodeIds=True)
 # Final forest: no bootstrap, 75 % of features per split.
 RF_FINAL = dict(numTrees=RF_FINAL_PARAMS["n_estimators"], bootstrap=RF_FINAL_PARAMS["bootstrap"],
                 featureSubsetStrategy=str(RF_FINAL_PARAMS["max_features"]),
                 minInstancesPerNode=RF_FINAL_PARAMS["min_samples_leaf"], seed=RF_FINAL_PARAMS["random_state"], **DEPTH)
+RF_FINAL_MIN_SPLIT = RF_FINAL_PARAMS["min_samples_split"]
 # Library defaults of the dashboard forest: bootstrap, all features.
 RF_DEFAULT = dict(numTrees=100, bootstrap=True, featureSubsetStrategy="all", seed=42, **DEPTH)
 
 
 def estimator(name: str, label: str = "label", features: str = "features", **kw):
     if name == "ols":
-        return LinearRegression(featuresCol=features, labelCol=label, solver="normal", regParam=0.0,
-                                elasticNetParam=0.0, standardization=False)
+        return LeastSquares(featuresCol=features, labelCol=label)
     if name == "rf_final":
         return RandomForestRegressor(featuresCol=features, labelCol=label, **{**RF_FINAL, **kw})
     if name == "rf_default":
@@ -64,7 +67,10 @@ def fit_model(train: DataFrame, name: str, numeric: list, categorical: list, lab
               scale: bool = True, **kw) -> PipelineModel:
     data = train.withColumn("label", col_of(label).cast("double"))
     pipe = Pipeline(stages=feature_pipeline(numeric, categorical, scale) + [estimator(name, **kw)])
-    return pipe.fit(data)
+    model = pipe.fit(data)
+    if name == "rf_final":
+        model = PipelineModel([*model.stages[:-1], min_split_forest(model.stages[-1], RF_FINAL_MIN_SPLIT)])
+    return model
 
 
 def predict(model: PipelineModel, df: DataFrame, keep: list, label: str | None = None) -> DataFrame:
@@ -108,31 +114,39 @@ def feature_names(model: PipelineModel, df: DataFrame, col: str = "raw_features"
     return [a["name"] for a in sorted(attrs, key=lambda a: a["idx"])]
 
 
-def compare_models(train: DataFrame, test: DataFrame, label: str, feature_sets: dict,
-                   key: str, models=("ols", "knn", "rf_default"), rf_kw: dict | None = None) -> DataFrame:
-    """Fit every model on every feature set; one row of test metrics each:
-    ``(model, features, n, mse, rmse, r2)``."""
+def knn_predictions(train: DataFrame, test: DataFrame, numeric: list, categories: dict, label: str, key: str, k: int = KNN_K) -> DataFrame:
+    """``(key, y_true, y_pred)`` of the test rows: unscaled numbers and 0/1 flags of the trained ``categories`` (column -> values)."""
+    cols = list(numeric)
+    sides = [train, test]
+    for c, values in categories.items():
+        sides = [onehot_wide(side, c, c, values) for side in sides]
+        cols += [f"{c}_{v}" for v in values]
+    p = knn_regress(*sides, cols, label, key, key, k=k)
+    # equal keys are equal rows with one prediction: one row per key before joining
+    return test.select(col_of(key), col_of(label).alias("y_true")).join(p.distinct(), key).withColumnRenamed("prediction", "y_pred")
+
+
+def compare_models(train: DataFrame, test: DataFrame, label: str, feature_sets: dict, key: str, models=("ols", "knn", "rf_default"),
+                   categories: dict | None = None, known: dict | None = None, rf_kw: dict | None = None) -> DataFrame:
+    """Fit every model on every feature set (name -> (numeric, categorical)); one row of test metrics each:
+    ``(model, features, n, mse, rmse, r2)``.
+
+    Test predictions are written once per (model, set), ``known`` ones are taken as they are, and one grouped
+    aggregate over all of them gives the metrics.  ``categories`` are the trained values of the categorical columns."""
     spark = train.sparkSession
-    out = None
+    together = None
     for fs_name, (numeric, categorical) in feature_sets.items():
         for m in models:
-            if m == "knn":
-                # unscaled numerics plus 0/1 flags of the categorical columns
-                tr, te, cols = train, test, list(numeric)
-                for c in categorical:
-                    cats = category_list(train, c)
-                    tr = onehot_wide(tr, c, c, cats)
-                    te = onehot_wide(te, c, c, cats)
-                    cols += [f"{c}_{v}" for v in cats]
-                p = knn_regress(tr, te, cols, label, key, key, k=KNN_K)
-                # equal keys are equal rows with one prediction: one row per key before joining
-                pred = test.select(col_of(key), col_of(label).alias("y_true")).join(p.distinct(), key) \
-                           .withColumnRenamed("prediction", "y_pred")
-            else:
-                mdl = fit_model(train, m, numeric, categorical, label, scale=(m == "ols"),
-                                **(rf_kw or {}) if m.startswith("rf") else {})
-                pred = predict(mdl, test, [key], label)
-            met = regression_metrics(pred).select(F.lit(m).alias("model"), F.lit(fs_name).alias("features"),
-                                                 "n", "mse", "rmse", "r2")
-            out = met if out is None else out.unionByName(met)
-    return out if out is not None else spark.createDataFrame([], "model string")
+            pred = (known or {}).get((m, fs_name))
+            if pred is None:
+                if m == "knn":
+                    made = knn_predictions(train, test, numeric, {c: categories[c] for c in categorical}, label, key)
+                else:
+                    mdl = fit_model(train, m, numeric, categorical, label, scale=False, **(rf_kw or {}) if m.startswith("rf") else {})
+                    made = predict(mdl, test, [key], label)
+                pred = materialize(made.select("y_true", "y_pred"), f"predictions-{m}")
+            pred = pred.select(F.lit(m).alias("model"), F.lit(fs_name).alias("features"), "y_true", "y_pred")
+            together = pred if together is None else together.unionByName(pred)
+    if together is None:
+        return spark.createDataFrame([], "model string, features string, n long, mse double, rmse double, r2 double")
+    return regression_metrics(together, by=["model", "features"])

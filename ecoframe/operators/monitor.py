@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ecoframe.functions.expressions import col_of
@@ -119,16 +119,37 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 def log_runs(runs: DataFrame, path: str) -> DataFrame:
     """Appends runs (run_id, run_name, start_time, params, metrics, tags) to the log at ``path``
-    and returns the log.  A run's version follows the highest one that its name has."""
+    and returns the log.  A run's version follows the highest one that its name has.
+
+    The run id is the key: a run that the log holds already is not entered again, and of rows with
+    one id in a batch the first by (name, time) is, so a repeated append changes nothing."""
     spark = runs.sparkSession
-    last = read_runs(spark, path).groupBy("run_name").agg(F.max("version").alias("_last"))
-    new = run_versions(runs, "run_name", "start_time", "run_id").join(last, "run_name", "left")
+    held, names = read_runs(spark, path), spark.createDataFrame([], RUN_LOG).columns
+    given = [c for c in names if c != "version"]
+    first = runs.groupBy("run_id").agg(F.min_by(F.struct(*given), F.struct("run_name", "start_time")).alias("_r")).select("_r.*")
+    new = first.join(held.select("run_id"), "run_id", "left_anti")
+    last = held.groupBy("run_name").agg(F.max("version").alias("_last"))
+    new = run_versions(new.select(*given), "run_name", "start_time", "run_id").join(last, "run_name", "left")
     new = new.withColumn("version", F.col("version") + F.coalesce("_last", F.lit(0)))
-    names = spark.createDataFrame([], RUN_LOG).columns
     new.select(*names).write.mode("append").parquet(path)
     return read_runs(spark, path)
 
 
+def log_metrics(table: DataFrame, path: str, name: str, params: list, metrics: list, started: datetime,
+                tags: dict | None = None) -> DataFrame:
+    """Logs every row of a table of results as a run: ``name`` is the column of run names, ``params`` and ``metrics``
+    are columns.  The run id is the name, the parameters and the start."""
+    def values(cols: list, kind: str) -> Column:
+        return F.map_from_arrays(F.array(*[F.lit(c) for c in cols]), F.array(*[col_of(c).cast(kind) for c in cols]))
+
+    stamp = started.strftime("%Y%m%d_%H%M%S_%f")
+    extra = F.create_map(*[F.lit(x) for kv in (tags or {}).items() for x in kv]) if tags else F.create_map().cast("map<string,string>")
+    return log_runs(table.select(
+        F.concat_ws("-", col_of(name), *[col_of(c).cast("string") for c in params], F.lit(stamp)).alias("run_id"), col_of(name).alias("run_name"),
+        F.lit(started).alias("start_time"), values(params, "string").alias("params"), values(metrics, "double").alias("metrics"),
+        extra.alias("tags")), path)
+
+
 def stamped_path(base: str, name: str, created: datetime) -> str:
     """Output path that carries its creation time: base/name_YYYYmmdd_HHMMSS."""
     return f"{base.rstrip('/')}/{name}_{created:%Y%m%d_%H%M%S}"

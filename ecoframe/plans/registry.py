@@ -6,6 +6,8 @@ the Spark result and in the oracle SQL.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from ecoframe.operators import clean, outliers
@@ -159,15 +161,17 @@ from pyspark.ml.functions import vector_to_array  # noqa: E402
 
 from ecoframe.operators import evaluate as EV  # noqa: E402
 from ecoframe.operators import features as FE  # noqa: E402
+from ecoframe.operators import forest as FO  # noqa: E402
 from ecoframe.operators import knn as KNN  # noqa: E402
 from ecoframe.operators import models as MD  # noqa: E402
+from ecoframe.operators import monitor as MO  # noqa: E402
 from ecoframe.operators import scoring as SC  # noqa: E402
 from ecoframe.plans import modeling as M  # noqa: E402
 from ecoframe.schema import (  # noqa: E402
     API_RANGES, BASE_FEATURES, DASHBOARD_FEATURES, DASHBOARD_RANGES, ERROR_REVIEW_THRESHOLD, FUEL_DROP_AFTER_MAP,
     FUEL_DROP_EARLY, KNN_K, NUMERIC_COLUMNS, TARGET, rules,
 )
-from ecoframe.sources.fixtures import FIXTURE_FUELS, FIXTURE_MAKES, RARE_MAKE  # noqa: E402
+from ecoframe.sources.fixtures import FIXTURE_FUELS, FIXTURE_MAKES  # noqa: E402
 
 KEY_SQL = "concat_ws('|', " + ", ".join(
     rf"coalesce(replace(replace(CAST({c} AS VARCHAR), '\', '\\'), '|', '\|'), '\N')"
@@ -190,41 +194,62 @@ def q_categories(spark, sf):
     return FE.categories(V.final(spark, sf), "mk")
 
 
-# Categories that the rules can produce from the fixture's spellings: the trained category table.
+# Categories that the rules can produce from the fixture's spellings: the columns of the oracle alone.  The queries
+# take theirs from the trained table; `feature_names` compares those names with SQL.
 FUEL_CATEGORIES = sorted({rules().fuel_map.get(f.lower(), f.lower()) for f in FIXTURE_FUELS}
                          - {*FUEL_DROP_EARLY, *FUEL_DROP_AFTER_MAP, *rules().fuel_drop_final})
 BRAND_CATEGORIES = sorted({rules().brand_map.get(m, m) for m in (
-    next((b for b in rules().brands if b in make.upper()), make.upper()) for make in [*FIXTURE_MAKES, RARE_MAKE])} - {*rules().deny})
+    next((b for b in rules().brands if b in make.upper()), make.upper()) for make in FIXTURE_MAKES)} - {*rules().deny})
 
 
 def _flags_sql(col: str, prefix: str, cats: list) -> str:
     return ", ".join(f'coalesce(CAST({col} = {O.q(c)} AS BIGINT), 0) AS "{prefix}_{c}"' for c in cats)
 
 
+def _trained(spark, sf, col):
+    """The trained category table of a column."""
+    return FE.categories(V.final(spark, sf), col)
+
+
+def _trained_list(spark, sf, col):
+    return V._once(spark, sf, f"categories-{col}", "v2", lambda: FE.category_list(_trained(spark, sf, col), col))
+
+
 @register("onehot_fuel", O.stage_sql(
     "final", f"SELECT {', '.join(c for c in PROCESSED_COLUMNS if c != 'ft')}, {_flags_sql('ft', 'Ft', FUEL_CATEGORIES)} FROM final"))
 def q_onehot_fuel(spark, sf):
-    return FE.onehot_wide(V.final(spark, sf), "ft", "Ft", FUEL_CATEGORIES)
+    return FE.onehot_wide(V.final(spark, sf), "ft", "Ft", _trained_list(spark, sf, "ft"))
+
 
+def _onehot_sql(more: str = "") -> str:
+    return O.stage_sql("final", f"SELECT {', '.join(c for c in PROCESSED_COLUMNS if c not in ('ft', 'mk'))}, "
+                                f"{_flags_sql('ft', 'Ft', FUEL_CATEGORIES)}, {_flags_sql('mk', 'Mk', BRAND_CATEGORIES)}{more} FROM final")
 
-@register("onehot_brand", O.stage_sql(
-    "final", f"SELECT {', '.join(c for c in PROCESSED_COLUMNS if c not in ('ft', 'mk'))}, "
-             f"{_flags_sql('ft', 'Ft', FUEL_CATEGORIES)}, {_flags_sql('mk', 'Mk', BRAND_CATEGORIES)} FROM final"))
+
+@register("onehot_brand", _onehot_sql())
 def q_onehot_brand(spark, sf):
-    return FE.onehot_wide(FE.onehot_wide(V.final(spark, sf), "ft", "Ft", FUEL_CATEGORIES), "mk", "Mk", BRAND_CATEGORIES)
+    wide = FE.onehot_wide(V.final(spark, sf), "ft", "Ft", _trained_list(spark, sf, "ft"))
+    return FE.onehot_wide(wide, "mk", "Mk", _trained_list(spark, sf, "mk"))
 
 
-@register("onehot_vector", O.stage_sql(
-    "final", f"SELECT {PROC}, sz AS n_slots, {' + '.join(BASE_FEATURES)} + 2.0 AS slot_sum FROM final, "
-             f"(SELECT CAST({len(BASE_FEATURES)} + count(DISTINCT ft) + count(DISTINCT mk) + 4 AS INTEGER) AS sz FROM final)"))
+@register("onehot_vector", _onehot_sql(", 0.0::DOUBLE AS unseen"))
 def q_onehot_vector(spark, sf):
-    """The vector encoding: its width (numbers, categories, and two slots a column for unseen values) and
-    the sum of its slots (the numbers plus one flag per column)."""
+    """The vector encoding with every slot under its name from the feature metadata; ``unseen`` adds up the
+    slots that are kept for unknown and null values."""
     f = V.final(spark, sf)
     model = FE.onehot_vector_model(["ft", "mk"], BASE_FEATURES).fit(f)
-    values = vector_to_array("features")
-    return model.transform(f).select(*PROCESSED_COLUMNS, F.size(values).alias("n_slots"),
-                                     F.aggregate(values, F.lit(0.0), lambda x, y: x + y).alias("slot_sum"))
+    names = MD.feature_names(model, f, "features")
+    values = model.transform(f).withColumn("_v", vector_to_array("features"))
+    prefix = {"ft_vec_": "Ft_", "mk_vec_": "Mk_"}
+    flags, unseen = [], F.lit(0.0)
+    for slot, name in enumerate(names[len(BASE_FEATURES):], len(BASE_FEATURES)):
+        column, category = name[:7], name[7:]
+        if category in _trained_list(spark, sf, column[:2]):
+            flags.append(F.get("_v", slot).cast("long").alias(prefix[column] + category))
+        else:
+            unseen = unseen + F.get("_v", slot)
+    numbers = [F.get("_v", slot).alias(c) for slot, c in enumerate(BASE_FEATURES)]
+    return values.select(*[c for c in PROCESSED_COLUMNS if c not in ("ft", "mk", *BASE_FEATURES)], *numbers, *flags, unseen.alias("unseen"))
 
 
 @register("feature_names", O.stage_sql(
@@ -260,6 +285,19 @@ def q_split_random(spark, sf):
     return train.unionByName(test)
 
 
+@register("split_random_share", O.stage_sql("final", "SELECT count(*) AS n_rows, 0::BIGINT AS in_both, true AS share_holds FROM final"))
+def q_split_random_share(spark, sf):
+    """The parts of an unseeded split: together all rows, none in both, the test share within eight standard
+    deviations of a fifth."""
+    f = V.final(spark, sf).withColumn("_id", F.monotonically_increasing_id())
+    train, test = FE.random_split(f)
+    sides = train.select("_id", F.lit(0).alias("side")).unionByName(test.select("_id", F.lit(1).alias("side")))
+    rows = sides.groupBy("_id").agg(F.count_distinct("side").alias("sides"), F.max("side").alias("side"))
+    share, n = F.avg("side"), F.count(F.lit(1))
+    return rows.agg(n.alias("n_rows"), F.sum((F.col("sides") > 1).cast("long")).alias("in_both"),
+                    (F.abs(share - 0.2) <= 8 * F.sqrt(F.lit(0.16) / n)).alias("share_holds"))
+
+
 def _scaler_fit_sql():
     parts = [f"SELECT '{c}' AS feature, round(avg({c}), 6) AS mean, "
              f"round(CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END, 6) AS std FROM tr"
@@ -396,18 +434,30 @@ def _knn_sql():
 
 @register("knn", _knn_sql())
 def q_knn(spark, sf):
-    train, test = M.train_test(spark, sf)
-    return KNN.knn_regress(train, test, DASHBOARD_FEATURES, TARGET, "row_key", "row_key", k=KNN_K)
+    def make():
+        train, test = M.train_test(spark, sf)
+        return materialize(KNN.knn_regress(train, test, DASHBOARD_FEATURES, TARGET, "row_key", "row_key", k=KNN_K), "knn")
+
+    return V._once(spark, sf, "knn", "v2", make)
+
+
+def _model(spark, sf, name, features, categorical):
+    """One model, fitted once per session and input."""
+    def make():
+        train, _ = M.train_test(spark, sf)
+        return MD.fit_model(train, name, features, categorical, TARGET, scale=False)
+
+    return V._once(spark, sf, f"model-{name}-{len(features)}-{','.join(categorical)}", "v2", make)
 
 
 def _predictions(spark, sf, name, features, categorical):
-    """Test predictions of one model, fitted once per session and input."""
+    """Test predictions of one model, written once per session and input."""
     def make():
-        train, test = M.train_test(spark, sf)
-        model = MD.fit_model(train, name, features, categorical, TARGET, scale=False)
+        _, test = M.train_test(spark, sf)
+        model = _model(spark, sf, name, features, categorical)
         return materialize(MD.predict(model, test, ["row_key"], TARGET), f"predictions-{name}")
 
-    return V._once(spark, sf, f"predictions-{name}", "v2", make)
+    return V._once(spark, sf, f"predictions-{name}-{','.join(categorical)}", "v2", make)
 
 
 def _bounds(pred):
@@ -426,19 +476,47 @@ def q_ols(spark, sf):
     return pred.select("row_key", "y_true", (F.abs("y_pred") < 1e6).alias("finite"))
 
 
-@register("ols_residuals", split_sql(
-    "SELECT f AS feature, true AS orthogonal FROM (SELECT unnest([" + ", ".join(O.q(f) for f in ["intercept", *DASHBOARD_FEATURES]) + "]) AS f)"))
-def q_ols_residuals(spark, sf):
-    """The defining property of least squares: training residuals are orthogonal to every feature."""
+def _orthogonal(spark, sf, categorical):
+    """Per feature of a least-squares model and the intercept: are the training residuals orthogonal to it?"""
     train, _ = M.train_test(spark, sf)
-    model = MD.fit_model(train, "ols", DASHBOARD_FEATURES, [], TARGET, scale=False)
-    res = model.transform(train).withColumn("_r", F.col(TARGET) - F.col("prediction")).withColumn("intercept", F.lit(1.0))
     names = ["intercept", *DASHBOARD_FEATURES]
-    row = res.agg(*[(F.abs(F.sum(F.col("_r") * F.col(c))) <= 1e-6 * F.sum(F.abs(F.col("_r") * F.col(c))) + 1e-6).alias(c) for c in names])
-    stack = ", ".join(f"'{c}', `{c}`" for c in names)
+    res = _model(spark, sf, "ols", DASHBOARD_FEATURES, categorical).transform(train)
+    res = res.withColumn("_r", F.col(TARGET) - F.col("prediction")).withColumn("intercept", F.lit(1.0))
+    for c in categorical:
+        values = _trained_list(spark, sf, c)
+        res = res.select("*", *[(F.col(c) == v).cast("double").alias(f"{c}_{v}") for v in values])
+        names += [f"{c}_{v}" for v in values]
+    product = [F.col("_r") * F.col(f"`{c}`") for c in names]
+    row = res.agg(*[(F.abs(F.sum(p)) <= 1e-6 * F.sum(F.abs(p)) + 1e-6).alias(f"f{i}") for i, p in enumerate(product)])
+    stack = ", ".join(f"'{c}', f{i}" for i, c in enumerate(names))
     return row.selectExpr(f"stack({len(names)}, {stack}) AS (feature, orthogonal)")
 
 
+_RESIDUAL_NAMES = ", ".join(O.q(f) for f in ["intercept", *DASHBOARD_FEATURES])
+
+
+@register("ols_residuals", split_sql(f"SELECT f AS feature, true AS orthogonal FROM (SELECT unnest([{_RESIDUAL_NAMES}]) AS f)"))
+def q_ols_residuals(spark, sf):
+    """The defining property of least squares: training residuals are orthogonal to every feature."""
+    return _orthogonal(spark, sf, [])
+
+
+@register("ols_brand_residuals", split_sql(
+    f"SELECT f AS feature, true AS orthogonal FROM (SELECT unnest([{_RESIDUAL_NAMES}]) AS f UNION ALL SELECT DISTINCT 'mk_' || mk FROM final)"))
+def q_ols_brand_residuals(spark, sf):
+    """The same with brand flags, which depend on each other and on the intercept."""
+    return _orthogonal(spark, sf, ["mk"])
+
+
+@register("ols_brand", split_sql(f"SELECT mk, count(*) AS n, round(sum({TARGET}), 4) AS fitted FROM tr GROUP BY mk"))
+def q_ols_brand(spark, sf):
+    """Least squares with brand flags, a full set of dependent columns: the fitted values of a brand's training rows add up
+    to their labels."""
+    train, _ = M.train_test(spark, sf)
+    model = _model(spark, sf, "ols", DASHBOARD_FEATURES, ["mk"])
+    return model.transform(train).groupBy("mk").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("prediction"), 4).alias("fitted"))
+
+
 @register("rf_final")
 def q_rf_final(spark, sf):
     return _predictions(spark, sf, "rf_final", BASE_FEATURES, ["ft", "mk"])
@@ -459,15 +537,86 @@ def q_rf_default_bounds(spark, sf):
     return _bounds(q_rf_default(spark, sf))
 
 
+@register("rf_final_nodes", split_sql("SELECT CAST(t AS INTEGER) AS tree, true AS splits_hold, (SELECT count(*) FROM tr) AS root_rows "
+                                      "FROM range(0, 100) AS g(t)"))
+def q_rf_final_nodes(spark, sf):
+    """Per tree of the final forest: no split of fewer than nine rows, and the rows at its root."""
+    nodes = FO.node_table(spark, _forest_path(spark, sf))
+    split = F.col("left") != FO.LEAF
+    return nodes.groupBy("tree").agg((F.min(F.when(split, F.col("n_rows"))) >= MD.RF_FINAL_MIN_SPLIT).alias("splits_hold"),
+                                     F.max(F.when(F.col("id") == 0, F.col("n_rows"))).alias("root_rows"))
+
+
+@register("rf_leaf_means", split_sql("SELECT CAST(t AS INTEGER) AS tree, (SELECT count(*) FROM tr) AS n_rows, 0::BIGINT AS unequal "
+                                     "FROM range(0, 100) AS g(t)"))
+def q_rf_leaf_means(spark, sf):
+    """Per tree of the final forest: the training rows that come to its leaves, and the leaves whose row count or
+    prediction differs from those of the rows that come to them."""
+    train, _ = M.train_test(spark, sf)
+    pipeline = _model(spark, sf, "rf_final", BASE_FEATURES, ["ft", "mk"])
+    rows = pipeline.stages[:-1]
+    placed = train
+    for stage in rows:
+        placed = stage.transform(placed)
+    means = FO.leaf_means(pipeline.stages[-1], placed, TARGET)
+    leaves = FO.leaves(FO.node_table(spark, _forest_path(spark, sf)))
+    both = leaves.join(means, ["tree", "leaf"], "full")
+    same = (F.col("n") == F.col("n_rows")) & (F.abs(F.col("mean") - F.col("value")) <= 1e-9 * F.abs(F.col("value")))
+    return both.groupBy("tree").agg(F.sum("n").alias("n_rows"), F.sum((~F.coalesce(same, F.lit(False))).cast("long")).alias("unequal"))
+
+
+def _forest_path(spark, sf):
+    """The final forest, saved once per session and input."""
+    return V._once(spark, sf, "forest-path", "v2", lambda: FO.save_forest(
+        _model(spark, sf, "rf_final", BASE_FEATURES, ["ft", "mk"]).stages[-1], scratch_path(spark, "rf-final")))
+
+
+FEATURE_SETS = {"dashboard": (DASHBOARD_FEATURES, []), "dashboard+brand": (DASHBOARD_FEATURES, ["mk"])}
+COMPARED = ("ols", "knn", "rf_default")
+
+
+def _comparison(spark, sf):
+    """(test metrics per model and feature set, log of the runs), made once per session and input.  The models of the
+    dashboard set are those of `ols`, `knn` and `rf_default`."""
+    def make():
+        train, test = M.train_test(spark, sf)
+        truth = test.select("row_key", F.col(TARGET).alias("y_true"))
+        near = truth.join(q_knn(spark, sf).distinct(), "row_key").withColumnRenamed("prediction", "y_pred")
+        known = {("knn", "dashboard"): near, **{(m, "dashboard"): _predictions(spark, sf, m, DASHBOARD_FEATURES, []) for m in ("ols", "rf_default")}}
+        known[("ols", "dashboard+brand")] = _predictions(spark, sf, "ols", DASHBOARD_FEATURES, ["mk"])
+        metrics = materialize(MD.compare_models(train, test, TARGET, FEATURE_SETS, "row_key", COMPARED,
+                                                {"mk": _trained_list(spark, sf, "mk")}, known), "comparison")
+        path = scratch_path(spark, "comparison-runs")
+        MO.log_metrics(metrics, path, name="model", params=["features"], metrics=["mse", "rmse", "r2"], started=datetime.now())
+        return metrics, path
+
+    return V._once(spark, sf, "comparison", "v2", make)
+
+
 @register("model_compare")
 def q_model_compare(spark, sf):
-    train, test = M.train_test(spark, sf)
-    sets = {"dashboard": (DASHBOARD_FEATURES, []), "dashboard+brand": (DASHBOARD_FEATURES, ["mk"])}
-    return MD.compare_models(train, test, TARGET, sets, "row_key")
+    return _comparison(spark, sf)[0]
 
 
-def _trained(spark, sf, col):
-    return FE.categories(V.final(spark, sf), col)
+_COMPARED_SQL = "(SELECT unnest(['ols', 'knn', 'rf_default']) AS model) m, (SELECT unnest(['dashboard', 'dashboard+brand']) AS features) f"
+
+
+@register("model_compare_bounds", split_sql(
+    f"SELECT model, features, (SELECT count(*) FROM te) AS n, true AS beats_mean FROM {_COMPARED_SQL}"))
+def q_model_compare_bounds(spark, sf):
+    """A row for every model and feature set: all test rows predicted, better than their mean."""
+    return q_model_compare(spark, sf).select("model", "features", "n", (F.col("r2") > 0).alias("beats_mean"))
+
+
+@register("model_runs", f"SELECT model AS run_name, features, CAST(row_number() OVER (PARTITION BY model ORDER BY features || '-') AS BIGINT) "
+                        f"AS version, true AS logged FROM {_COMPARED_SQL}")
+def q_model_runs(spark, sf):
+    """The log of the comparison: one run for every model and feature set, with its metrics."""
+    metrics, path = _comparison(spark, sf)
+    log = MO.read_runs(spark, path)
+    same = metrics.select(F.col("model").alias("run_name"), "features", F.col("rmse").alias("_rmse"))
+    runs = log.withColumn("features", F.col("params")["features"]).join(same, ["run_name", "features"])
+    return runs.select("run_name", "features", "version", (F.col("metrics")["rmse"] == F.col("_rmse")).alias("logged"))
 
 
 def _check_sql(select: str, ranges: dict = API_RANGES) -> str:
@@ -522,13 +671,14 @@ def q_score_unknown_brand(spark, sf):
     f"{_flags_sql('fuel_type', 'Ft', FUEL_CATEGORIES)}, {_flags_sql('Mk', 'Mk', BRAND_CATEGORIES)} FROM ck WHERE valid"))
 def q_score_features(spark, sf):
     ok = _checked(spark, sf).filter("valid").drop("reasons", "valid")
-    return FE.onehot_wide(FE.onehot_wide(ok, "fuel_type", "Ft", FUEL_CATEGORIES), "Mk", "Mk", BRAND_CATEGORIES)
+    wide = FE.onehot_wide(ok, "fuel_type", "Ft", _trained_list(spark, sf, "ft"))
+    return FE.onehot_wide(wide, "Mk", "Mk", _trained_list(spark, sf, "mk"))
 
 
 @register("rf_score")
 def q_rf_score(spark, sf):
     train, _ = M.train_test(spark, sf)
-    model = MD.fit_model(train, "rf_final", BASE_FEATURES, ["ft", "mk"], TARGET, scale=False)
+    model = _model(spark, sf, "rf_final", BASE_FEATURES, ["ft", "mk"])
     path = MD.save_model(model, scratch_path(spark, "model-rf"),
                          MD.model_signature(model, train, [*BASE_FEATURES, "ft", "mk"]))
     loaded = MD.load_model(path)
@@ -542,7 +692,6 @@ def q_rf_score(spark, sf):
 # 2.8 / 2.9: run history (orders as runs), metric history (events as samples)
 # =====================================================================================
 
-from ecoframe.operators import monitor as MO  # noqa: E402
 from ecoframe.sources.fixtures import read_table  # noqa: E402
 
 RUNS_SQL = ("SELECT o_orderkey AS run_id, o_orderpriority AS run_name, o_orderdate AS start_time, "
