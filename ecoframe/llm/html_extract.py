@@ -7,15 +7,16 @@ neighbouring lines and split in two clusters (1-d two-means); lines of the
 upper cluster mark content regions.  Marks choose between ``article`` and ``main`` containers: those with
 marked lines are regions, unless more of the marked text lies outside of all containers.  Then, and on pages without
 containers, the region is the innermost block element that encloses all marked lines, so headings and short blocks at the
-ends stay.  Inside a region marks choose too: a div or section of several lines without a mark or heading goes, as do
-lists, tables, divs and lines of little but links.  Content of menus, page headers, footers, sidebars, notices, adverts,
+ends stay.  Inside a region lists, tables, divs and lines without a mark go if they are little but links; short text is
+no reason to go.  Where the region is no element but the whole page, a div or section of several lines without a mark or heading
+goes too.  Content of menus, page headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments (by element, or by a word of class, id or role) makes no lines at all.  On a page
 that has no container outside of them, an element with such a word that holds an article or main is read all the same, and
 so is one that holds most of the page's text, unless it is one of comments, adverts or consent.
 
 Defined cases: null or empty html gives an empty text; tags left open are
-closed by their container; a page without markup is one block; very long pages are
-parsed whole; repeated rows are extracted each; an empty table gives an empty result.
+closed by their container; a page without markup is one block; very long and deeply nested pages are
+parsed whole, in time that grows with their length; repeated rows are extracted each; an empty table gives an empty result.
 Columns other than the html are carried by `extract_pages` only where asked for.
 """
 
@@ -66,8 +67,10 @@ class LineParser(HTMLParser):
         self.section, self.heading, self.links = 0, False, 0
         self.read = read
         self.opened = 0  # start tags met
-        self.named: dict[int, list] = {}  # of elements with an unwanted word, by number: characters, holds an article or main, is foreign
-        self.within, self.mute = -1, 0  # the skipped one of them that is open, and the depth from which its text doesn't count
+        # of skipped elements with an unwanted word, by number: characters, holds an article or main, is foreign, lies in no other
+        self.named: dict[int, list] = {}
+        self.open: list[tuple[int, int]] = []  # those that are open: number, depth
+        self.mute = 0  # the depth from which their text doesn't count
         self.skipping = 0
         self.container, self.containers = 0, 0
         self.text: list[str] = []
@@ -94,8 +97,7 @@ class LineParser(HTMLParser):
                 if tag not in CONTAINERS and (words := UNWANTED.intersection(re.split(r"[\s_-]+", value.lower()))):
                     if self.opened in self.read:
                         continue
-                    self.named[self.opened] = [0, False, not FOREIGN.isdisjoint(words)]
-                    self.within, self.mute = self.opened, 0
+                    self.enter(tag, words)
                     return True
                 if tag == "article" and "comment" in value.lower():
                     return True
@@ -105,14 +107,28 @@ class LineParser(HTMLParser):
                 return True
         return False
 
+    def enter(self, tag: str, words: set[str]) -> None:
+        """A skipped element with unwanted words begins."""
+        if tag not in VOID:
+            self.named[self.opened] = [0, False, not FOREIGN.isdisjoint(words), not self.open]
+            self.open.append((self.opened, len(self.stack)))
+            self.mute = 0
+
+    def leave(self) -> None:
+        """It ends: what it held counts for the one around it."""
+        inner, _ = self.open.pop()
+        if self.open:
+            outer = self.named[self.open[-1][0]]
+            outer[0] += self.named[inner][0]
+            outer[1] |= self.named[inner][1]
+
     def pop(self) -> None:
         tag, skipped, outer, section = self.stack.pop()
         self.skipping -= skipped
-        if self.within >= 0:
-            if not self.skipping:
-                self.within = -1
-            elif len(self.stack) < self.mute:
-                self.mute = 0
+        while self.open and self.open[-1][1] >= len(self.stack):
+            self.leave()
+        if len(self.stack) < self.mute:
+            self.mute = 0
         if self.container != outer:
             self.end_line()
             self.container = outer
@@ -132,11 +148,15 @@ class LineParser(HTMLParser):
                     break
                 if name in LISTS or name in CONTAINERS or name in SKIPPED or name in ("div", "section", "body"):
                     break
-        if self.within >= 0 and not self.mute and tag not in VOID:
+        if self.open and not self.mute and tag not in VOID:
+            words = [v.lower() for n, v in attrs if n in ("class", "id") and v]
             if tag in SKIPPED:
                 self.mute = len(self.stack) + 1
-            elif tag in CONTAINERS and not any(n in ("class", "id") and v and "comment" in v.lower() for n, v in attrs):
-                self.named[self.within][1] = True
+            elif tag in CONTAINERS:
+                if not any("comment" in v for v in words):
+                    self.named[self.open[-1][0]][1] = True
+            elif found := UNWANTED.intersection(w for v in words for w in re.split(r"[\s_-]+", v)):
+                self.enter(tag, found)
         skipped = not self.skipping and self.unwanted(tag, attrs) or bool(self.skipping)
         if not skipped:
             if tag in BLOCKS:
@@ -176,8 +196,8 @@ class LineParser(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.skipping:
             self.text.append(data)
-        elif self.within >= 0 and not self.mute:
-            self.named[self.within][0] += len(data.strip())
+        elif self.open and not self.mute:
+            self.named[self.open[-1][0]][0] += len(data.strip())
 
 
 def smooth(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -202,21 +222,24 @@ def upper_cluster(values: np.ndarray, rounds: int = 50) -> np.ndarray:
     return values > (low + high) / 2
 
 
+def parsed(html: str, read: frozenset[int] = frozenset()) -> LineParser:
+    parser = LineParser(read)
+    parser.feed(html)
+    parser.close()
+    parser.end_line()
+    while parser.open:
+        parser.leave()
+    return parser
+
+
 def read_lines(html: str) -> LineParser:
-    """The parsed page; read again with the unwanted elements that turn out to hold its content."""
-    read: frozenset[int] = frozenset()
-    while True:
-        parser = LineParser(read)
-        parser.feed(html)
-        parser.close()
-        parser.end_line()
-        if not parser.named or any(line[2] for line in parser.lines):
-            return parser
-        whole = sum(len(line[0]) for line in parser.lines) + sum(n for n, _, _ in parser.named.values())
-        more = {i for i, (n, holds, foreign) in parser.named.items() if holds or 2 * n > whole and not foreign}
-        if not more:
-            return parser
-        read |= more  # what lies inside them is met in the next round
+    """The parsed page; parsed once more with the unwanted elements that turn out to hold its content."""
+    parser = parsed(html)
+    if not parser.named or any(line[2] for line in parser.lines):
+        return parser
+    whole = sum(len(line[0]) for line in parser.lines) + sum(n for n, _, _, outermost in parser.named.values() if outermost)
+    read = frozenset(i for i, (n, holds, foreign, _) in parser.named.items() if holds or 2 * n > whole and not foreign)
+    return parsed(html, read) if read else parser
 
 
 def main_text(html: str | None, sigma: float = 1.0) -> str:
@@ -231,53 +254,63 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     marked = upper_cluster(smooth(np.log1p(ratios), sigma))
     sizes = np.array([len(line[0]) for line in lines])
     inside = np.array([line[2] for line in lines])
+    tree, whole_page = Sections(lines, sections, marked), False
     if inside.any() and (2 * sizes[marked & (inside > 0)].sum() >= sizes[marked].sum()):
         regions = set(inside[marked & (inside > 0)].tolist()) or set(inside[inside > 0].tolist())
         taken = np.array([c in regions for c in inside.tolist()])
     else:
-        shared = None
-        for i in np.flatnonzero(marked):
-            path = enclosing(sections, lines[i][3])
-            shared = path if shared is None else [x for x in shared if x in path]
-        while shared[0] and sections[shared[0]][1] not in WRAPPERS | CONTAINERS:
-            shared = shared[1:]  # a list or quotation is part of a text
-        while len(shared) > 1 and sum(shared[0] in enclosing(sections, line[3]) for line in lines) == 1:
-            shared = shared[1:]  # a wrapper of one line
-        taken = np.array([shared[0] in enclosing(sections, line[3]) for line in lines])
-    taken &= ~unmarked_blocks(lines, sections, marked)
+        region = tree.shared()
+        while region and sections[region][1] not in WRAPPERS | CONTAINERS:
+            region = sections[region][0]  # a list or quotation is part of a text
+        while region and tree.lines[region] == 1:
+            region = sections[region][0]  # a wrapper of one line
+        taken = tree.below({region})[tree.at]
+        whole_page = not region
+    taken &= ~tree.unwanted(whole_page)
     return "\n\n".join(lines[i][0] for i in np.flatnonzero(taken))
 
 
-def enclosing(sections: list[tuple[int, str]], at: int) -> list[int]:
-    """A section and those around it, the innermost first; the last is the page."""
-    path = []
-    while at >= 0:
-        path.append(at)
-        at = sections[at][0]
-    return path
-
-
-def unmarked_blocks(lines: list[tuple], sections: list[tuple[int, str]], marked: np.ndarray) -> np.ndarray:
-    """Mask of the lines in blocks without a marked line that are several lines under no heading, or little but links."""
-    def linked(rows: list[tuple]) -> bool:
-        links = sum(row[5] for row in rows)
-        return links > 1 and 2 * links > sum(len(row[0].split()) for row in rows)
-
-    out = np.zeros(len(lines), bool)
-    if marked.all():
+class Sections:
+    """What the sections of a page hold, their inner sections included: one pass from the last to the first,
+    as a section comes after the one around it."""
+
+    def __init__(self, lines: list[tuple], sections: list[tuple[int, str]], marked: np.ndarray):
+        self.sections, self.marked = sections, marked
+        self.at = np.array([line[3] for line in lines])
+        self.links = np.array([line[5] for line in lines])
+        self.words = np.array([len(line[0].split()) for line in lines])
+        self.heads = np.array([line[4] for line in lines], dtype=int)
+        many = len(sections)
+        totals = np.column_stack([np.bincount(self.at, weights, many) for weights in (None, marked, self.links, self.words, self.heads)]).tolist()
+        for i in range(many - 1, 0, -1):
+            outer = totals[sections[i][0]]
+            for k, value in enumerate(totals[i]):
+                outer[k] += value
+        self.lines, self.marks, self.all_links, self.all_words, self.all_heads = np.array(totals).T
+
+    def shared(self) -> int:
+        """The innermost section that encloses all marked lines."""
+        return int(np.flatnonzero(self.marks == self.marked.sum())[-1])
+
+    def below(self, chosen: set[int]) -> np.ndarray:
+        """Mask of the sections that are chosen or lie in a chosen one."""
+        out = np.zeros(len(self.sections), bool)
+        for i, (outer, _) in enumerate(self.sections):
+            out[i] = i in chosen or (outer >= 0 and out[outer])
         return out
-    members: dict[int, list[int]] = {}
-    for i, line in enumerate(lines):
-        out[i] = not marked[i] and not line[4] and linked([line])
-        for at in enclosing(sections, line[3])[:-1]:
-            members.setdefault(at, []).append(i)
-    for at, rows in members.items():
-        if sections[at][1] not in CONTAINERS and not marked[rows].any():
-            found = [lines[i] for i in rows]
-            plain = not any(line[4] for line in found)
-            if linked(found) or plain and len(found) > 1 and sections[at][1] in WRAPPERS:
-                out[rows] = True
-    return out
+
+    def unwanted(self, whole_page: bool) -> np.ndarray:
+        """Mask of the lines without a mark in blocks of little but links, and (where the whole page is the region)
+        of those in blocks of several lines under no heading."""
+        if self.marked.all():
+            return np.zeros(len(self.at), bool)
+        tags = [tag for _, tag in self.sections]
+        linked = (self.all_links > 1) & (2 * self.all_links > self.all_words)
+        plain = (self.all_heads == 0) & (self.lines > 1) & np.array([t in WRAPPERS for t in tags]) & whole_page
+        block = (self.marks == 0) & (self.lines > 0) & np.array([t not in CONTAINERS for t in tags]) & (linked | plain)
+        block[0] = False
+        own = ~self.marked & (self.heads == 0) & (self.links > 1) & (2 * self.links > self.words)
+        return own | self.below(set(np.flatnonzero(block).tolist()))[self.at]
 
 
 def extract_pages(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"),

@@ -126,15 +126,18 @@ def lasso_logistic(z: np.ndarray, y: np.ndarray, penalty: float, rounds: int = 6
     return w, b
 
 
+TREE_ROWS = 2_000  # rows of each class that one tree is grown on, at most, drawn from the bounded labelled rows
+
+
 def fit_rules(x: np.ndarray, y: np.ndarray, trees: int = 24, depth: int = 3, penalty: float = 2e-3,
-              seed: int = 7) -> tuple[list[tuple[Rule, float]], float]:
+              seed: int = 7, tree_rows: int = TREE_ROWS) -> tuple[list[tuple[Rule, float]], float]:
     """(rules with non-zero weight, intercept)."""
     prior = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1))) if len(y) else 0.0
     if len(y) == 0 or y.min() == y.max():
         return [], prior
     rng = np.random.default_rng(seed)
     classes = [np.flatnonzero(y == k) for k in (0, 1)]
-    size = min(2_000, max(len(c) for c in classes))
+    size = min(tree_rows, max(len(c) for c in classes))
     found: dict[bytes, Rule] = {}
     for _ in range(trees):  # both classes weigh the same in a tree
         rows = np.concatenate([rng.choice(c, size) for c in classes])

@@ -11,13 +11,13 @@ full-batch gradient steps on the class-prior-corrected risk
 stepping back along the second term whenever it falls below zero, and their
 mean margin is the score.
 
-Both samples are bounded by parameters and chosen by a hash of the id; held-out
-rows are in neither.  Only the numbers of the screened features come to the driver.
+The positive rows and the unlabelled rows of the gradient steps are bounded by parameters and chosen by a hash of the id;
+held-out rows are in neither.  The shares of the screen are counted over all rows that are not held out.  Only the numbers of the screened features come to the driver.
 Labels, language, source and id are never inputs of a score.
 
 Defined cases: null and empty texts have no features and get a score;
 without positives or unlabelled rows every score is the prior (0 at least);
-equal texts count once in training; repeated rows are scored each; an empty
+equal texts count once in the gradient steps (each in the counted shares); repeated rows are scored each; an empty
 table gives an empty result.
 """
 
@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,57 +39,79 @@ POSITIVE_ROWS = 4_000
 UNLABELLED_ROWS = 12_000
 BUCKET_BITS = 22
 FEATURES = 1_024
-LONGEST = 12
+LONGEST = 12   # bytes of the longest beginning; words are hashed whole, whatever their length
+STEPS = 48     # bytes of words that are hashed together
 
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 _MIX, _WHOLE, _SEED = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
 def feature_buckets(text: str | None, bits: int = BUCKET_BITS) -> np.ndarray:
-    """The different features of a text: each word, each of its beginnings of 3 to
+    """The different features of a text: each whole word, each of its beginnings of 3 to
     12 bytes that is shorter than the word, and either again where it occurs
     twice and three times."""
-    raw = np.frombuffer(f" {_NO_LETTERS.sub(' ', (text or '').lower())} ".encode() + b" " * LONGEST, np.uint8)
+    plain = f" {_NO_LETTERS.sub(' ', (text or '').lower())} ".encode()
+    raw = np.frombuffer(plain, np.uint8)
     blank = raw == 32
     starts = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
     hashed, keys = np.full(len(starts), _SEED), []
-    for length in range(1, LONGEST + 1):
+    length = 0
+    while len(starts) and length < STEPS:
+        length += 1
         hashed = (hashed ^ raw[starts + length - 1]) * _MIX
         hashed ^= hashed >> np.uint64(29)
         ends = blank[starts + length]
         keys.append(hashed[ends] * _WHOLE)
         starts, hashed = starts[~ends], hashed[~ends]
-        if length >= 3:
+        if 3 <= length <= LONGEST:
             keys.append(hashed)
+    # the few words beyond that, one by one
+    keys.append(np.array([xxhash.xxh64_intdigest(plain[at:plain.index(b" ", at)]) for at in starts.tolist()], np.uint64))
     found, times = np.unique(np.concatenate(keys) * _MIX >> np.uint64(64 - bits), return_counts=True)
     again = [found] + [(found[times >= n] + np.uint64(n)) * _MIX >> np.uint64(64 - bits) for n in (2, 3)]
     return np.unique(np.concatenate(again)).astype(np.int64)
 
 
-def screen(sample: DataFrame, positives: int, unlabelled: int, features: int, min_rows: int = 3) -> DataFrame:
-    """The buckets whose share of positive rows stands out most, with the z value of the difference."""
+def bucket_counts(rows: DataFrame) -> DataFrame:
+    """bucket, p: the rows (text) that have each feature; a task sends one row for every bucket that it met."""
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(1 << BUCKET_BITS, np.int32) for _ in range(2)]
+        seen = np.zeros(1 << BUCKET_BITS, np.int32)
         for batch in batches:
-            for text, positive in zip(batch.column("text"), batch.column("positive"), strict=True):
-                seen[positive.as_py()][feature_buckets(text.as_py())] += 1
-        at = np.flatnonzero(seen[1])  # a bucket that no positive row of any task has can't be chosen
-        other = np.flatnonzero((seen[0] > 0) & (seen[1] == 0))
-        for rows in (at, other):
-            for i in range(0, len(rows), 100_000):
-                part = rows[i:i + 100_000]
-                yield pa.record_batch([pa.array(part, pa.int64()), pa.array(seen[1][part], pa.int64()),
-                                       pa.array(seen[0][part], pa.int64())], names=["bucket", "p", "u"])
-
-    # The sample is bounded, so a few tasks hold it; each sends a row per bucket it met.
-    total = (sample.repartition(4).mapInArrow(counts, "bucket long, p long, u long")
-             .groupBy("bucket").agg(F.sum("p").alias("p"), F.sum("u").alias("u")))
-    share = (F.col("p") + F.col("u")) / (positives + unlabelled)
-    z = ((F.col("p") / positives - F.col("u") / unlabelled)
-         / F.sqrt(share * (1 - share + 1e-9) * (1 / positives + 1 / unlabelled)))
-    return (total.filter(F.col("p") >= min_rows).select("bucket", z.alias("z")).filter("z > 3")
-            .orderBy(F.desc("z"), "bucket").limit(features))
+            for text in batch.column("text"):
+                seen[feature_buckets(text.as_py())] += 1
+        met = np.flatnonzero(seen)
+        for i in range(0, len(met), 100_000):
+            part = met[i:i + 100_000]
+            yield pa.record_batch([pa.array(part, pa.int64()), pa.array(seen[part], pa.int64())], names=["bucket", "p"])
+
+    # The positive rows are bounded, so a few tasks hold them.
+    return rows.select("text").coalesce(4).mapInArrow(counts, "bucket long, p long").groupBy("bucket").agg(F.sum("p").alias("p"))
+
+
+def screen(positive: DataFrame, unlabelled: DataFrame, positives: int, unlabelleds: int, features: int, min_rows: int = 3) -> DataFrame:
+    """The buckets whose share of positive rows stands out most against all unlabelled rows, with the z value of the
+    difference.  Only buckets that enough positive rows have can be chosen; the others are not carried further."""
+    chosen = bucket_counts(positive).filter(F.col("p") >= min_rows).select("bucket", "p")
+    wanted = np.sort(np.array([r["bucket"] for r in chosen.select("bucket").collect()], np.int64))  # met by the bounded positive rows
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.zeros(1 << BUCKET_BITS, bool)
+        known[wanted] = True
+        seen = np.zeros(len(wanted), np.int64)
+        for batch in batches:
+            for text in batch.column("text"):
+                met = feature_buckets(text.as_py())
+                seen[np.searchsorted(wanted, met[known[met]])] += 1
+        if len(wanted):
+            yield pa.record_batch([pa.array(wanted), pa.array(seen)], names=["bucket", "u"])
+
+    total = unlabelled.select("text").mapInArrow(counts, "bucket long, u long").groupBy("bucket").agg(F.sum("u").alias("u"))
+    both = chosen.join(total, "bucket", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+    share = (F.col("p") + F.col("u")) / (positives + unlabelleds)
+    z = ((F.col("p") / positives - F.col("u") / unlabelleds)
+         / F.sqrt(share * (1 - share + 1e-9) * (1 / positives + 1 / unlabelleds)))
+    return (both.select("bucket", z.alias("z")).filter("z > 3").orderBy(F.desc("z"), "bucket").limit(features))
 
 
 class Presence:
@@ -161,8 +184,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         empty = {"buckets": np.zeros(0, np.int64), "weights": np.zeros(0), "bias": 0.0, "prior": prior, "features": 0}
         if not sizes.get(1) or not sizes.get(0):
             return empty
-        buckets = np.sort(np.array([r["bucket"] for r in screen(sample, sizes[1], sizes[0], features).collect()],
-                                   np.int64))
+        unlabelled = texts.filter(~held_out(F.col("id")))
+        chosen_buckets = screen(sample.filter("positive = 1"), unlabelled, sizes[1], unlabelled.count(), features)
+        buckets = np.sort(np.array([r["bucket"] for r in chosen_buckets.collect()], np.int64))
         if not len(buckets):
             return empty
 

@@ -1,7 +1,9 @@
 import hashlib
 import html as entities
+import random
 import re
 import struct
+import time
 
 import pytest
 import zstandard
@@ -109,3 +111,45 @@ def test_archive_round_trip(spark, tmp_path):
     empty = str(tmp_path / "empty")
     warc.write_archive(warc.plan_records(pages.limit(0), html_col="key"), empty)
     assert warc.read_archive(spark, empty).count() == 0
+
+
+LONG = "long words that fill a paragraph of an article with text " * 6
+
+
+@pytest.mark.parametrize("short", [
+    "<div><p>Short one.</p><p>Short two.</p></div>", "<div><p>Q?</p><p>A.</p><p>Why?</p></div>", "<section><p>One.</p><p>Two.</p></section>",
+    "<div><div><p>a</p></div><div><p>b</p><section><p>c</p></section></div></div>"])
+def test_short_blocks_of_an_article_stay(short):
+    got = html_extract.main_text(f"<article><h1>T</h1><p>{LONG}</p>{short}<p>{LONG}</p></article>").split("\n\n")
+    lines = re.findall(r"<p>([^<]*)</p>", short)
+    assert got == ["T", LONG.strip(), *lines, LONG.strip()]
+
+
+def test_generated_articles_keep_every_line():
+    """Random nests of div and section inside an article: all lines in order."""
+    rng = random.Random(5)
+
+    def nest(depth, lines):
+        parts = []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.choice(["p", "p", "div", "section"]) if depth < 4 else "p"
+            if kind == "p":
+                lines.append(f"w{len(lines)} " + "text " * rng.choice([1, 3, 60]))
+                parts.append(f"<p>{lines[-1]}</p>")
+            else:
+                parts.append(f"<{kind}>{nest(depth + 1, lines)}</{kind}>")
+        return "".join(parts)
+
+    for _ in range(60):
+        lines: list[str] = []
+        html = f"<body><nav><p>menu</p></nav><article><h1>Title</h1><p>{LONG}</p>{nest(0, lines)}<p>{LONG}</p></article><footer>end</footer></body>"
+        want = ["Title", LONG.strip(), *(x.strip() for x in lines), LONG.strip()]
+        assert html_extract.main_text(html).split("\n\n") == want
+
+
+def test_deep_and_long_pages_take_linear_time():
+    start = time.perf_counter()
+    assert html_extract.main_text("<div>text " * 20_000).count("text") == 20_000
+    assert html_extract.main_text('<div class="sidebar"><p>text ' * 2_000 + f"<article><p>{LONG}</p></article>") == LONG.strip()
+    assert len(html_extract.main_text(f"<article><p>{'x' * 3_000_000}</p></article>")) == 3_000_000
+    assert time.perf_counter() - start < 10

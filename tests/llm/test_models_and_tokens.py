@@ -118,3 +118,35 @@ def test_ties_follow_the_tokenizer(seed):
         for _ in range(20):
             text = "".join(rnd.choice("abcé \nz") for _ in range(rnd.randint(0, 15)))
             assert mine.count(text) == exact(text), (text, vocabulary)
+
+
+def test_words_are_features_whole():
+    long, other = toxicity.feature_buckets("internationalization"), toxicity.feature_buckets("internationalist")
+    assert not np.array_equal(long, other)
+    stem = "ж" * 40  # 80 bytes: beyond the words that are hashed together
+    assert not np.array_equal(toxicity.feature_buckets(stem + "а"), toxicity.feature_buckets(stem + "б"))
+    assert np.array_equal(toxicity.feature_buckets(f"{stem} {stem}"), toxicity.feature_buckets(f"{stem}! {stem}."))
+    assert len(toxicity.feature_buckets(None)) == len(toxicity.feature_buckets("12 !")) == 0
+    assert len(toxicity.feature_buckets("k" * 1_000_000)) > 0
+
+
+def test_screen_counts_all_unlabelled_rows(spark):
+    """z values from plain sets of features over every row."""
+    positive = ["bad word here", "bad word there", "bad word", "bad things"]
+    other = ["good word here", "a word", "nothing", None, "", "bad"] * 7
+    p = spark.createDataFrame([(1, t) for t in positive], "positive int, text string")
+    u = spark.createDataFrame([(t,) for t in other], "text string")
+    got = {r["bucket"]: r["z"] for r in toxicity.screen(p, u, len(positive), len(other), 100).collect()}
+    counts = {}
+    for side, texts in enumerate((positive, other)):
+        for t in texts:
+            for b in toxicity.feature_buckets(t).tolist():
+                counts.setdefault(b, [0, 0])[side] += 1
+    want = {}
+    for b, (a, c) in counts.items():
+        if a >= 3:
+            share = (a + c) / (len(positive) + len(other))
+            z = (a / len(positive) - c / len(other)) / (share * (1 - share + 1e-9) * (1 / len(positive) + 1 / len(other))) ** 0.5
+            if z > 3:
+                want[b] = z
+    assert want and got.keys() == want.keys() and all(abs(got[b] - want[b]) < 1e-9 for b in want)
