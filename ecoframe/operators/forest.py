@@ -61,13 +61,15 @@ def reachable(nodes: DataFrame) -> DataFrame:
 
 def node_table(spark: SparkSession, path: str) -> DataFrame:
     """The reachable nodes of the forest saved at ``path``: tree, id, left, right (-1 for a leaf), n_rows, value, and for
-    splits the feature number and threshold (null for a split by categories)."""
+    splits the feature number and the threshold, or for a split by categories those that go left."""
     d = F.col("nodeData")
+    split, by_number = d["leftChild"] != LEAF, d["split"]["numCategories"] == -1
     nodes = spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"), d["id"].alias("id"), d["leftChild"].alias("left"), d["rightChild"].alias("right"),
         d["rawCount"].alias("n_rows"), d["prediction"].alias("value"),
-        F.when(d["leftChild"] != LEAF, d["split"]["featureIndex"]).alias("feature"),
-        F.when((d["leftChild"] != LEAF) & (d["split"]["numCategories"] == -1), F.get(d["split"]["leftCategoriesOrThreshold"], 0)).alias("threshold"))
+        F.when(split, d["split"]["featureIndex"]).alias("feature"),
+        F.when(split & by_number, F.get(d["split"]["leftCategoriesOrThreshold"], 0)).alias("threshold"),
+        F.when(split & ~by_number, d["split"]["leftCategoriesOrThreshold"]).alias("left_categories"))
     return reachable(nodes)
 
 

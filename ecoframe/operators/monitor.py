@@ -105,7 +105,7 @@ RUN_LOG = ("run_id string, run_name string, start_time timestamp, params map<str
 MANIFEST = "artifact string, path string, created_at timestamp"
 
 
-def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The table at ``path``; empty where it was not created yet."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
@@ -114,7 +114,7 @@ def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return _stored(spark, path, RUN_LOG)
+    return stored(spark, path, RUN_LOG)
 
 
 def log_runs(runs: DataFrame, path: str) -> DataFrame:
@@ -160,4 +160,4 @@ def write_manifest(entries: DataFrame, path: str) -> DataFrame:
     artifact ever entered, so older keys stay."""
     names = entries.sparkSession.createDataFrame([], MANIFEST).columns
     entries.select(*names).write.mode("append").parquet(path)
-    return latest_artifacts(_stored(entries.sparkSession, path, MANIFEST))
+    return latest_artifacts(stored(entries.sparkSession, path, MANIFEST))

@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ecoframe.operators import artifacts as AR
 from ecoframe.operators import clean, outliers
 from ecoframe.plans import oracle as O
 from ecoframe.plans import vehicles as V
@@ -635,7 +636,10 @@ def _check_sql(select: str, ranges: dict = API_RANGES) -> str:
 
 
 def _checked(spark, sf, limits: dict = API_RANGES):
-    req = M.requests(spark, sf)
+    return _check(spark, sf, M.requests(spark, sf), limits)
+
+
+def _check(spark, sf, req, limits: dict = API_RANGES):
     ranges = {shown: limits[name] for shown, name in M.REQUEST_TO_INTERNAL.items() if name in limits}
     cats = {"fuel_type": _trained(spark, sf, "ft"), "Mk": _trained(spark, sf, "mk")}
     return SC.check_requests(req, ranges, cats)
@@ -675,17 +679,73 @@ def q_score_features(spark, sf):
     return FE.onehot_wide(wide, "Mk", "Mk", _trained_list(spark, sf, "mk"))
 
 
+def _forest_scorer(spark, sf):
+    """The final forest, saved and loaded again, as a function of checked requests."""
+    def make():
+        train, _ = M.train_test(spark, sf)
+        model = _model(spark, sf, "rf_final", BASE_FEATURES, ["ft", "mk"])
+        return MD.load_model(MD.save_model(model, scratch_path(spark, "model-rf"), MD.model_signature(model, train, [*BASE_FEATURES, "ft", "mk"])))
+
+    loaded = V._once(spark, sf, "forest-loaded", "v2", make)
+
+    def score(requests):
+        req = requests.select("request_id", *[F.col(k).cast("double").alias(v) for k, v in M.REQUEST_TO_INTERNAL.items()
+                                              if v not in ("ft", "mk")], F.col("fuel_type").alias("ft"), F.col("Mk").alias("mk"))
+        return loaded.transform(req).select("request_id", F.col("prediction"))
+
+    return score
+
+
 @register("rf_score")
 def q_rf_score(spark, sf):
-    train, _ = M.train_test(spark, sf)
-    model = _model(spark, sf, "rf_final", BASE_FEATURES, ["ft", "mk"])
-    path = MD.save_model(model, scratch_path(spark, "model-rf"),
-                         MD.model_signature(model, train, [*BASE_FEATURES, "ft", "mk"]))
-    loaded = MD.load_model(path)
-    ok = _checked(spark, sf).filter("valid")
-    req = ok.select("request_id", *[F.col(k).cast("double").alias(v) for k, v in M.REQUEST_TO_INTERNAL.items()
-                                    if v not in ("ft", "mk")], F.col("fuel_type").alias("ft"), F.col("Mk").alias("mk"))
-    return loaded.transform(req).select("request_id", F.col("prediction"))
+    return _forest_scorer(spark, sf)(_checked(spark, sf).filter("valid"))
+
+
+def _scored_stream(spark, sf):
+    """(scored, refused) requests of the scoring stream, over files that land in three batches."""
+    def make():
+        landing = scratch_path(spark, "landed-requests")
+        requests = M.requests(spark, sf)
+        requests.repartition(6, F.xxhash64("request_id")).write.parquet(landing)
+        scored, refused, ckpt = (scratch_path(spark, n) for n in ("scored", "refused", "scored-ckpt"))
+        for _ in range(2):  # the rerun adds nothing
+            ST.score_requests(spark, landing, requests.schema, lambda batch: _check(spark, sf, batch), _forest_scorer(spark, sf),
+                              scored, refused, ckpt, files_per_batch=2)
+        return spark.read.parquet(scored).drop("batch"), spark.read.parquet(refused).drop("batch")
+
+    return V._once(spark, sf, "scored-stream", "v2", make)
+
+
+@register("stream_score")
+def q_stream_score(spark, sf):
+    return _scored_stream(spark, sf)[0]
+
+
+@register("stream_score_equal", _check_sql("SELECT count(*) FILTER (WHERE valid) AS scored, count(*) FILTER (WHERE NOT valid) AS refused, "
+                                           "0::BIGINT AS unequal FROM ck"))
+def q_stream_score_equal(spark, sf):
+    """Sizes of the stream's two sinks, and the requests whose predictions differ in number or value from the batch ones."""
+    scored, refused = _scored_stream(spark, sf)
+
+    def grouped(df, name):
+        return df.groupBy("request_id").agg(F.count(F.lit(1)).alias(f"n_{name}"), F.max("prediction").alias(f"p_{name}"))
+
+    both = grouped(scored, "stream").join(grouped(q_rf_score(spark, sf), "batch"), "request_id", "full")
+    same = F.col("n_stream").eqNullSafe(F.col("n_batch")) & F.col("p_stream").eqNullSafe(F.col("p_batch"))
+    return both.agg(F.coalesce(F.sum("n_stream"), F.lit(0)).alias("scored"), F.coalesce(F.sum((~same).cast("long")), F.lit(0)).alias("unequal")) \
+        .select("scored", F.lit(refused.count()).cast("long").alias("refused"), "unequal")
+
+
+@register("score_by_run", split_sql("SELECT row_key, round(y_pred, 6) AS prediction FROM et", _UNI_CTE))
+def q_score_by_run(spark, sf):
+    """Two versions of one model name; scoring by name takes the newest and checks its signature."""
+    train, test = M.train_test(spark, sf)
+    base, log = scratch_path(spark, "models"), scratch_path(spark, "model-log")
+    for feature in ("fc", UNI_X):
+        model = MD.fit_model(train, "ols", [feature], [], TARGET, scale=False)
+        AR.register_model(model, MD.model_signature(model, train, [feature]), "one-feature", base, log, {"feature": feature})
+    scored = AR.score_by_name(test, log, "one-feature", ["row_key"])
+    return scored.select("row_key", F.round("prediction", 6).alias("prediction"))
 
 
 # =====================================================================================
@@ -872,6 +932,31 @@ def q_scan_year(spark, sf):
     return FS.scan_years(spark, path, years=[2022]).select(*RAW_COLUMNS)
 
 
+_SHOWN = ", ".join("cn || ' (provisional)' AS cn" if c == "cn" else c for c in RAW_COLUMNS)
+
+
+@register("scan_release", O.stage_sql("src", f"SELECT {RAW}, 'Fv' AS release FROM src WHERE year < 2023 "
+                                             f"UNION ALL SELECT {_SHOWN}, 'Pv' FROM src WHERE year = 2023"))
+def q_scan_release(spark, sf):
+    """Provisional tables of all years and final ones of those before 2023: the final release replaces the provisional."""
+    path, src = scratch_path(spark, "releases"), V.src(spark, sf)
+    FS.write_release(src.withColumn("cn", F.concat("cn", F.lit(" (provisional)"))), path, "Pv")
+    FS.write_release(src.filter("year < 2023"), path, "Fv")
+    return FS.scan_releases(spark, path).select(*RAW_COLUMNS, "release")
+
+
+@register("published_stages", O.stage_sql("brand", f"SELECT {RAW} FROM brand"))
+def q_published_stages(spark, sf):
+    """Raw and processed tables as published outputs: each step finds its input through the manifest, and an output
+    written without its manifest row is not read."""
+    base, manifest = scratch_path(spark, "published"), scratch_path(spark, "published-manifest")
+    AR.publish(V.src(spark, sf), base, "raw_data", manifest)
+    V.src(spark, sf).limit(0).write.parquet(MO.stamped_path(base, "raw_data", datetime(2999, 1, 1)))  # not committed
+    raw = AR.read_published(spark, manifest, "raw_data")
+    AR.publish(clean.clean_brand(clean.clean_fuel(V.dedup_of(raw), "ft"), "mk"), base, "processed_data", manifest)
+    return AR.read_published(spark, manifest, "processed_data").select(*RAW_COLUMNS)
+
+
 @register("union_years", O.stage_sql("src", f"SELECT {RAW} FROM src"))
 def q_union_years(spark, sf):
     path = _years_table(spark, sf)
@@ -997,24 +1082,45 @@ def q_stream_ingest(spark, sf):
     return ST.ingested(spark, sink).select(*RAW_COLUMNS)
 
 
-def _streamed_samples(spark, sf):
-    """(history, latest, schema): the sample stream over files that arrive in no order of time."""
+def _landed_samples(spark, sf):
+    """Samples as files that arrive in no order of time."""
     s = samples(spark, sf)
     landing = scratch_path(spark, "landed-samples")
     s.repartition(8, F.xxhash64("event_id")).write.mode("overwrite").parquet(landing)
-    hist, latest, ckpt = (scratch_path(spark, n) for n in ("metric-history", "metric-latest", "metric-ckpt"))
-    for _ in range(2):  # the rerun adds nothing
-        ST.metric_history(spark, landing, s.schema, hist, latest, ckpt, tie="event_id", files_per_batch=3)
-    return ST.current(spark, hist, s.schema), ST.current(spark, latest, s.schema)
+    return landing, s.schema
 
 
 @register("stream_metrics", samples_sql(
     "SELECT event_id, metric, ts, value, props FROM (SELECT *, row_number() OVER (PARTITION BY metric, value "
     "ORDER BY ts, event_id) AS rn FROM samples WHERE value <> 0) WHERE rn = 1"))
 def q_stream_metrics(spark, sf):
-    return _streamed_samples(spark, sf)[0]
+    """The ever-seen history in hash buckets."""
+    landing, schema = _landed_samples(spark, sf)
+    history, ckpt = scratch_path(spark, "metric-history"), scratch_path(spark, "metric-history-ckpt")
+    for _ in range(2):  # the rerun adds nothing
+        ST.first_samples(spark, landing, schema, history, ckpt, tie="event_id", files_per_batch=3)
+    return ST.current(spark, history, schema)
 
 
 @register("stream_latest", ORACLE["metric_latest"])
 def q_stream_latest(spark, sf):
-    return _streamed_samples(spark, sf)[1].select("metric", F.col("value").alias("latest_value"), F.col("ts").alias("latest_ts"))
+    """The latest sample per metric from the state store."""
+    landing, schema = _landed_samples(spark, sf)
+    latest, ckpt = scratch_path(spark, "metric-latest"), scratch_path(spark, "metric-latest-ckpt")
+    for _ in range(2):
+        ST.latest_samples(spark, landing, schema, latest, ckpt, tie="event_id", files_per_batch=3)
+    return ST.current(spark, latest, schema).select("metric", F.col("value").alias("latest_value"), F.col("ts").alias("latest_ts"))
+
+
+@register("stream_dedup", samples_sql("SELECT event_id, metric, ts, value, props FROM samples"))
+def q_stream_dedup(spark, sf):
+    """Samples that are delivered in two parts, the second with a redelivery of the first part's last day: the state
+    store's keys of that day, kept by the watermark across the restart, drop the repeated ones."""
+    s = samples(spark, sf)
+    landing, sink, ckpt = (scratch_path(spark, n) for n in ("landed-deliveries", "unique-samples", "unique-samples-ckpt"))
+    cut = F.lit(_CUT_TS).cast("timestamp")
+    ts = F.col("ts").cast("timestamp")
+    for part in (ts < cut, ts >= cut - F.expr("INTERVAL 1 DAY")):
+        s.filter(part).write.mode("append").parquet(landing)
+        ST.unique_samples(spark, landing, s.schema, sink, ckpt, ["event_id"], delay="2 days")
+    return spark.read.parquet(sink).drop("batch")

@@ -51,12 +51,12 @@ def src(spark: SparkSession, sf: str) -> DataFrame:
     return clean.select_source(vehicles_raw(spark, sf, with_ord=False), RAW_COLUMNS)
 
 
-def _dedup(source: DataFrame) -> DataFrame:
+def dedup_of(source: DataFrame) -> DataFrame:
     return clean.dedup_first(source, exclude=["cn", "year"], order=["year", "cn"])
 
 
 def dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return _dedup(src(spark, sf))
+    return dedup_of(src(spark, sf))
 
 
 def counted_fuel(spark: SparkSession, sf: str, rule: str = "v2"):
@@ -64,7 +64,7 @@ def counted_fuel(spark: SparkSession, sf: str, rule: str = "v2"):
     def make():
         seen, kept = Observation(), Observation()
         one = F.count(F.lit(1)).alias("n")
-        stage = clean.clean_fuel(_dedup(src(spark, sf).observe(seen, one)).observe(kept, one), "ft", rule)
+        stage = clean.clean_fuel(dedup_of(src(spark, sf).observe(seen, one)).observe(kept, one), "ft", rule)
         table = materialize(stage, f"fuel-{rule}")
         return table, {"src": seen.get["n"], "dedup": kept.get["n"]}
 

@@ -132,6 +132,8 @@ PAGE_SIZE = 100_000
 RF_FINAL_PARAMS = {"bootstrap": False, "max_features": 0.75, "min_samples_leaf": 1,
                    "min_samples_split": 9, "n_estimators": 100, "random_state": 42}
 KNN_K = 5
+# Releases of a yearly table, the preferred one first: final, provisional.
+RELEASES = ["Fv", "Pv"]
 # ---------------------------------------------------------------------------
 
 
