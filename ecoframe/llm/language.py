@@ -23,9 +23,10 @@ an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import groupby, islice
+from itertools import chain, groupby, islice
 from operator import itemgetter
 
 import ahocorasick
@@ -48,7 +49,7 @@ MEMORY_NUMBERS = 1_600_000   # log probabilities that a task remembers
 WORDS = 50_000           # words of texts that are scored together
 LONG_TEXT = 1_000_000    # texts beyond this are scored in stretches of words
 STRETCH = 4_096          # characters of a long word whose matches are held
-SHORT, BLOCK = 40, 4_096  # words up to this length are done together, so many at a time
+SHORT, BLOCK = 40, 2_048  # words up to this length are done together, so many at a time
 UNKNOWN = "und"
 
 
@@ -65,14 +66,16 @@ class Lattice:
     def __init__(self, usable: list[tuple[str, int]], byte: dict[int, int]):
         self.byte, self.tree = byte, ahocorasick.Automaton()
         for piece, i in usable:
-            self.tree.add_word(piece, (len(piece), i))
+            self.tree.add_word(piece, i << 10 | len(piece))
         self.tree.make_automaton()
         self.longest = max((len(p) for p, _ in usable), default=1)
         self.single = frozenset(p for p, _ in usable if len(p) == 1)
 
-    def found(self, text: str) -> list[tuple[int, int, int]]:
-        """(last position, length, piece) of all pieces in words that each begin with the space mark; none spans two words."""
-        return [(at, length, i) for at, (length, i) in self.tree.iter(text)] if len(self.tree) else []
+    def found(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(end, length, piece) of all pieces in words that each begin with the space mark; none spans two words."""
+        hits = chain.from_iterable(self.tree.iter(text)) if len(self.tree) else ()
+        flat = np.fromiter(hits, np.int64).reshape(-1, 2)
+        return flat[:, 0] + 1, flat[:, 1] & 1023, flat[:, 1] >> 10
 
     def spelled(self, char: str) -> list[int]:
         """The byte pieces of a character that is no piece."""
@@ -84,8 +87,8 @@ class Lattice:
         high = len(word) if high is None else high
         first = max(0, low - self.longest + 1)
         done = low
-        for at, (length, i) in self.tree.iter(word[first:high]) if len(self.tree) else ():
-            end = first + at + 1
+        for at, value in self.tree.iter(word[first:high]) if len(self.tree) else ():
+            end, length, i = first + at + 1, value & 1023, value >> 10
             if end > low:
                 for k in range(done, end):
                     if word[k] not in self.single:
@@ -108,38 +111,51 @@ class Block:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         offset = np.concatenate([[0], np.cumsum(sizes)])
         text = "".join(words)
-        found = np.array(lattice.found(text), dtype=np.int64).reshape(-1, 3)
-        end, length, piece = found[:, 0] + 1, found[:, 1], found[:, 2]
-        odd = [(k + 1, lattice.spelled(c)) for k, c in enumerate(text) if c not in lattice.single]
+        end, length, piece = lattice.found(text)
+        strange = set(text) - lattice.single
+        odd = [(k + 1, lattice.spelled(c)) for k, c in enumerate(text) if c in strange] if strange else []
         # a spelled character is one match with several pieces: its weight is their product
         self.spelled = [ids for _, ids in odd]
         end = np.concatenate([end, np.array([k for k, _ in odd], dtype=np.int64)])
         length = np.concatenate([length, np.ones(len(odd), dtype=np.int64)])
         piece = np.concatenate([piece, -1 - np.arange(len(odd))])
-        word = np.searchsorted(offset, end - 1, side="right") - 1
-        order = np.argsort(end - offset[word], kind="stable")
-        self.word, self.piece = word[order], piece[order]
-        self.end = (end - offset[word])[order]
+        word = np.repeat(np.arange(len(words)), sizes)[end - 1]
+        place = end - offset[word]
+        order = np.argsort(place * len(words) + word, kind="stable")
+        self.word, self.piece, self.end = word[order], piece[order], place[order]
         self.start = self.end - length[order]
         self.sizes, self.longest = sizes, int(sizes.max(initial=0))
+        # matches of one word with one end are neighbours: where each such group begins
+        fresh = np.ones(len(order), dtype=bool)
+        fresh[1:] = (self.end[1:] != self.end[:-1]) | (self.word[1:] != self.word[:-1])
+        self.groups = np.flatnonzero(fresh)
         self.cuts = np.searchsorted(self.end, np.arange(self.longest + 2))
-
-    def weights(self, probability: np.ndarray, column: np.ndarray | int) -> np.ndarray:
-        """The probability of every match, in the column of its word."""
-        column = column[self.word] if isinstance(column, np.ndarray) else np.full(len(self.word), column)
-        out = probability[np.maximum(self.piece, 0), column]
-        for at in np.flatnonzero(self.piece < 0):
-            out[at] = probability[self.spelled[-1 - self.piece[at]], column[at]].prod()
+        self.group_cuts = np.searchsorted(self.groups, self.cuts)
+
+    def weights(self, probability: np.ndarray, column: np.ndarray | None = None) -> np.ndarray:
+        """The probability of every match under all columns, or in the column of its word."""
+        spelled = np.flatnonzero(self.piece < 0)
+        if column is None:
+            out = probability[np.maximum(self.piece, 0)]
+            for at in spelled:
+                out[at] = probability[self.spelled[-1 - self.piece[at]]].prod(axis=0)
+            return out
+        own = column[self.word]
+        out = probability[np.maximum(self.piece, 0), own]
+        for at in spelled:
+            out[at] = probability[self.spelled[-1 - self.piece[at]], own[at]].prod()
         return out
 
     def forward(self, weights: np.ndarray) -> np.ndarray:
-        """alpha: summed probability of every word's beginnings (words x positions)."""
-        many = len(self.sizes)
-        alpha = np.zeros((self.longest + 1, many))
+        """alpha: summed probability of every word's beginnings (positions x words, and columns if the weights have them)."""
+        alpha = np.zeros((self.longest + 1, len(self.sizes), *weights.shape[1:]))
         alpha[0] = 1.0
         for end in range(1, self.longest + 1):
             part = slice(self.cuts[end], self.cuts[end + 1])
-            alpha[end] = np.bincount(self.word[part], alpha[self.start[part], self.word[part]] * weights[part], many)
+            firsts = self.groups[self.group_cuts[end]:self.group_cuts[end + 1]]
+            if len(firsts):
+                ways = alpha[self.start[part], self.word[part]] * weights[part]
+                alpha[end, self.word[firsts]] = np.add.reduceat(ways, firsts - part.start, axis=0)
         return alpha
 
     def backward(self, weights: np.ndarray) -> np.ndarray:
@@ -209,12 +225,11 @@ def log_probabilities(lattice: Lattice, words: list[str], probability: np.ndarra
     for at in range(0, len(short), BLOCK):
         part = short[at:at + BLOCK]
         block = Block(lattice, [words[k] for k in part])
-        for column in range(probability.shape[1]):
-            whole = block.whole(block.forward(block.weights(probability, column)))
-            safe = whole > Block.LEAST
-            out[part, column] = np.log(np.where(safe, whole, 1.0))
-            alone += [part[k] for k in np.flatnonzero(~safe)]
-    for k in set(alone):
+        whole = block.whole(block.forward(block.weights(probability)))
+        safe = whole > Block.LEAST
+        out[part] = np.log(np.where(safe, whole, 1.0))
+        alone += [part[k] for k in np.flatnonzero(~safe.all(axis=1))]
+    for k in alone:
         out[k] = forward(lattice, words[k], probability)
     return out
 
@@ -299,7 +314,8 @@ class Scorer:
     """Scores texts: the state of one task."""
 
     def __init__(self, model: Model, memory: int | None = None):
-        self.model, self.lattice, self.word = model, Lattice(*letter_pieces(model.pieces)), regex.compile(WORD)
+        self.model, self.lattice = model, Lattice(*letter_pieces(model.pieces))
+        self.word, self.plain_word = regex.compile(WORD), re.compile("[a-z]+")
         self.memory = memory or max(1_000, MEMORY_NUMBERS // max(1, len(model.languages)))
         self.known: dict[str, int] = {}
         self.table = np.zeros((0, len(model.languages)))
@@ -320,7 +336,8 @@ class Scorer:
         for k, text in enumerate(texts):
             if text:
                 text = text.lower()
-                words = iter(self.word.findall(text)) if len(text) <= LONG_TEXT else (m.group() for m in self.word.finditer(text))
+                word = self.plain_word if text.isascii() else self.word  # the same words, found faster
+                words = iter(word.findall(text)) if len(text) <= LONG_TEXT else (m.group() for m in word.finditer(text))
                 while part := list(islice(words, WORDS)):
                     yield k, part
 
