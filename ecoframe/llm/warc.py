@@ -37,6 +37,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ecoframe.llm.stages import salted_join
+
 SKIPPABLE_SEEK = 0x184D2A5E
 SKIPPABLE_INDEX = 0x184D2A5D
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -48,7 +50,8 @@ RECORD_SCHEMA = ("page_id long, url string, record_type string, payload_bytes lo
 
 
 def record_id(page_id: int | None, digest: str) -> str:
-    name = f"page:{page_id}" if page_id is not None else f"payload:{digest}"
+    """Of page and payload, so that two payloads under one page id are two records."""
+    name = f"page:{page_id}:{digest}" if page_id is not None else f"payload:{digest}"
     return f"<urn:uuid:{uuid.uuid5(NAMESPACE, name)}>"
 
 
@@ -166,14 +169,18 @@ def parse_record(data: bytes) -> dict:
 
 def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
                  min_dedup_bytes: int = 1000) -> DataFrame:
-    """page_id, url, payload, digest (SHA-1) and refers_to (null: a response)."""
+    """page_id, url, payload, digest (SHA-1) and refers_to (null: a response).
+
+    Payloads below ``min_dedup_bytes`` have no winner and take no part in the join; the groups of the others are salted."""
     payload = F.encode(F.coalesce(pages[html_col].cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].alias("url"),
                         payload.alias("payload"), F.unhex(F.sha2(payload, 256)).alias("key"))
     winners = (rows.filter((F.length("payload") >= min_dedup_bytes) & F.col("page_id").isNotNull())
                .groupBy("key").agg(F.max("page_id").alias("winner"), F.min("page_id").alias("lowest"))
                .filter("winner <> lowest").select("key", "winner"))
-    return (rows.join(winners, "key", "left")
+    small = rows.filter(F.length("payload") < min_dedup_bytes).withColumn("winner", F.lit(None).cast("long"))
+    joined = salted_join(rows.filter(F.length("payload") >= min_dedup_bytes), winners, ["key"], "page_id", "left")
+    return (joined.select(*rows.columns, "winner").unionByName(small)
             .select("page_id", "url", "payload", F.sha1("payload").alias("digest"),
                     F.when(F.col("winner") != F.col("page_id"), F.col("winner")).alias("refers_to")))
 

@@ -9,6 +9,7 @@ import pytest
 import zstandard
 
 from ecoframe.llm import html_extract, warc
+from ecoframe.session import scratch_path
 from tests_llm_paths import SF
 
 
@@ -153,3 +154,16 @@ def test_deep_and_long_pages_take_linear_time():
     assert html_extract.main_text('<div class="sidebar"><p>text ' * 2_000 + f"<article><p>{LONG}</p></article>") == LONG.strip()
     assert len(html_extract.main_text(f"<article><p>{'x' * 3_000_000}</p></article>")) == 3_000_000
     assert time.perf_counter() - start < 10
+
+
+def test_two_payloads_under_one_page_id_are_two_records(spark):
+    big, other = "<p>" + "a" * 2_000, "<p>" + "b" * 2_000
+    pages = spark.createDataFrame([(1, "u", big), (1, "u", other), (2, "v", big), (3, None, None), (4, "w", ""), (5, "w", "")],
+                                  "page_id long, url string, html string")
+    path = scratch_path(spark, "warc-ids")
+    warc.write_archive(warc.plan_records(pages), path)
+    rows = warc.read_archive(spark, path).collect()
+    assert len({r.record_id for r in rows}) == len(rows) == 6
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in rows if r.payload_bytes and r.payload_digest == hashlib.sha1(big.encode()).hexdigest()) \
+        == [(1, "revisit", 2), (2, "response", None)]
+    assert all(r.record_type == "response" for r in rows if r.payload_bytes == 0)  # small payloads have no winner
