@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ecoframe.llm.stages import salted_join
 
 SALTS = 32
+STRETCH = 4_096  # repeated rows that are made from one array
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, salts: int) -> DataFrame:
@@ -65,7 +66,9 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     members = (_rows(docs, id_col, text_col, salts)
                .groupBy("id", "digest", "digest2").agg(F.count(F.lit(1)).alias("copies")))
     return (salted_join(members, by_key, ["digest", "digest2"], "id", salts=salts)
-            .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy"))
+            # rows that repeat id and text come back in stretches, so no array holds all of them
+            .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"), F.lit(STRETCH))).alias("first"))
+            .select("*", F.explode(F.sequence(F.col("first"), F.least("copies", F.col("first") + (STRETCH - 1)))).alias("copy"))
             .select(F.col("id").alias(id_col), "keep_id", "group_size",
                     (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))
