@@ -80,7 +80,8 @@ def rake(mass: np.ndarray, wanted: list[np.ndarray], rounds: int = 1_000, tolera
             worst = max(worst, float(np.abs(scale[have > 0] - 1).max()))
             weight *= scale.reshape([-1 if a == axis else 1 for a in range(weight.ndim)])
         if worst < tolerance:
-            break
+            return weight
+    _LOG.warning("raking ended after %d rounds, still moving by %.2g: the targets contradict each other", rounds, worst)
     return weight
 
 
@@ -97,14 +98,27 @@ def raised_scale(mass: np.ndarray, ratio: np.ndarray, goal: float) -> float:
     return float(1 / ratio[-1]) if len(ratio) else 0.0
 
 
+def target_shares(have: dict[str, float], target: dict[str, float], total: float) -> dict[str, float]:
+    """Wanted share of every value: the targets of values that have tokens; values without a target keep theirs."""
+    free = 0.0 if OTHER in target or not total else have.get(OTHER, 0.0) / total
+    some = {v: float(target.get(v, 0.0)) for v in have if have[v] > 0 and (v != OTHER or OTHER in target)}
+    asked = sum(some.values())
+    out = {v: share / asked * (1 - free) for v, share in some.items()} if asked else {}
+    return out | ({OTHER: free} if OTHER not in target else {})
+
+
 def unmet(cells: list[dict], targets: dict[str, dict[str, float]], tolerance: float = 1e-3) -> list[dict]:
-    """name, value, wanted, kept: the marginal shares of fitted cells that the probabilities miss."""
+    """name, value, wanted, kept: the target shares that the probabilities of the fitted cells miss.  Wanted are the targets
+    themselves (over the values that have tokens), whether or not raking could reach them."""
     total = sum(c["tokens"] * c["keep_probability"] for c in cells)
+    whole = sum(c["tokens"] for c in cells)
     out = []
     for name, target in targets.items():
-        for value in dict.fromkeys([*target, OTHER]):
+        have = {v: sum(c["tokens"] for c in cells if c[name] == v) for v in dict.fromkeys([*target, OTHER])}
+        shares = target_shares(have, target, whole)
+        for value in have:
             mine = [c for c in cells if c[name] == value]
-            wanted = sum(c["cell_weight"] for c in mine)
+            wanted = shares.get(value, 0.0)
             kept = sum(c["tokens"] * c["keep_probability"] for c in mine) / total if total else 0.0
             if abs(wanted - kept) > tolerance:
                 out.append({"name": name, "value": value, "wanted": wanted, "kept": kept})
@@ -126,11 +140,8 @@ def fit_cells(cells: list[dict], targets: dict[str, dict[str, float]], token_bud
     wanted = []
     for axis, (t, v) in enumerate(zip(targets.values(), values, strict=True)):
         have = mass.sum(axis=tuple(a for a in range(mass.ndim) if a != axis))
-        want = np.array([float(t.get(x, 0.0)) for x in v]) * (have > 0)
-        free = 0.0 if OTHER in t or not total else float(have[-1] / total)
-        share = want / want.sum() * (1 - free) if want.sum() else want
-        share[-1] = share[-1] if OTHER in t else free
-        wanted.append(share)
+        shares = target_shares(dict(zip(v, have.tolist(), strict=True)), t, total)
+        wanted.append(np.array([shares.get(x, 0.0) for x in v]))
     weight = rake(mass, wanted)
     ratio = np.divide(weight, mass, out=np.zeros_like(weight), where=mass > 0)
     scale = 1 / ratio.max() if ratio.max() > 0 else 0.0

@@ -2,6 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ecoframe.llm import exact_dedup, mixing, quality
 
@@ -98,3 +99,29 @@ def test_held_out_rows_follow_the_crc(spark):
     ids = spark.range(200).selectExpr("id AS doc_id")
     got = {r[0]: r[1] for r in ids.select("doc_id", quality.held_out(ids["doc_id"])).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(200)}
+
+
+def test_targets_that_contradict_each_other_are_reported(caplog):
+    cells = [{"a": "x", "b": "en", "docs": 5, "tokens": 100}, {"a": "y", "b": "de", "docs": 5, "tokens": 100}]
+    targets = {"a": {"x": 0.5, "y": 0.5}, "b": {"en": 0.8, "de": 0.2}}
+    fitted = mixing.fit_cells(cells, targets)
+    assert "contradict" in caplog.text
+    missed = {(m["name"], m["value"]): (round(m["wanted"], 3), round(m["kept"], 3)) for m in mixing.unmet(fitted, targets)}
+    assert missed == {("a", "x"): (0.5, 0.8), ("a", "y"): (0.5, 0.2)}
+
+
+def test_rows_repeated_beyond_a_stretch(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "STRETCH", 4)
+    docs = spark.createDataFrame([(7, "same")] * 11 + [(3, "same"), (None, None), (None, "")], "doc_id long, text string")
+    out = exact_dedup.assign(docs).collect()
+    assert len(out) == 14 and sum(r.kept for r in out if r.doc_id == 7) == 1
+    assert {(r.keep_id, r.group_size) for r in out if r.doc_id in (3, 7)} == {(7, 12)}
+
+
+def test_very_long_texts(spark):
+    long = "word " * 400_000
+    docs = spark.createDataFrame([(1, long), (2, long), (3, long + "x")], "doc_id long, text string")
+    kept = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.assign(docs).collect()}
+    assert kept == {1: (2, False), 2: (2, True), 3: (3, True)}
+    whole = docs.withColumn("source", F.lit("src0")).withColumn("lang", F.lit("en"))
+    assert [r.tokens for r in mixing.mix(whole).orderBy("doc_id").collect()] == [400_000, 400_000, 400_001]
