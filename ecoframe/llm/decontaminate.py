@@ -9,7 +9,8 @@ verified by a banded alignment of the whole item (edit distance, free ends in th
 text).  e is ``edit_rate`` of the item's length.  Characters are compared lower-cased, all
 white space as a blank; positions are those of the original text.
 
-Every text is filtered whole, where it lies: there is no shuffle.  The benchmark's
+Shared q-grams are counted a bounded number at a time; a text and an item that repeat the same q-grams over and over are aligned whole
+instead, which finds the same.  Every text is filtered whole, where it lies: there is no shuffle.  The benchmark's
 q-gram table is broadcast in blocks of at most ``block_chars`` characters; a
 larger benchmark makes more blocks, each of which sees all texts.
 
@@ -37,6 +38,11 @@ MIN_ITEM_CHARS = 30
 MATCHES = "array<struct<item_id: bigint, start: int, end: int, edits: int>>"
 _ARROW = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())]))
 
+POSTINGS = 1 << 20           # shared q-grams that are held at a time
+DENSE_POSTINGS = 1 << 20     # a text and an item that share more,
+DENSE_SHARE = 0.05           # on this share of all their pairs of places, are aligned whole
+WINDOW = 1 << 20             # characters of a text that are aligned at a time
+
 _BITS = 22
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = re.compile(r"\s")
@@ -101,6 +107,43 @@ def joined(text: str, at: int) -> bool:
     return 0 < at < len(text) and text[at - 1].isalnum() and text[at].isalnum()
 
 
+def stretches(sizes: np.ndarray, limit: int | None = None) -> Iterator[slice]:
+    """Slices of consecutive entries whose sizes add up to about ``limit``."""
+    total, begin = np.cumsum(sizes), 0
+    limit = limit or POSTINGS
+    while begin < len(sizes):
+        done = total[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(total, done + limit, side="right")))
+        yield slice(begin, end)
+        begin = end
+
+
+def spread(first: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... (as often as ``times`` says) of every entry, one after another."""
+    return np.repeat(first - np.cumsum(times) + times, times) + np.arange(times.sum())
+
+
+class Tally:
+    """Sums by key, merged whenever a bounded number has come together."""
+
+    def __init__(self) -> None:
+        self.keys, self.sums, self.held = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+
+    def add(self, keys: np.ndarray, weights: np.ndarray | None = None) -> None:
+        found, inverse = np.unique(keys, return_inverse=True)
+        self.keys.append(found)
+        self.sums.append(np.bincount(inverse, weights, len(found)).astype(np.int64))
+        self.held += len(found)
+        if self.held > 4 * POSTINGS:
+            self.result()
+
+    def result(self) -> tuple[np.ndarray, np.ndarray]:
+        found, inverse = np.unique(np.concatenate(self.keys), return_inverse=True)
+        sums = np.bincount(inverse, np.concatenate(self.sums), len(found)).astype(np.int64)
+        self.keys, self.sums, self.held = [found], [sums], 0
+        return found, sums
+
+
 class Index:
     """The q-gram table of a block of benchmark items."""
 
@@ -121,40 +164,95 @@ class Index:
         item = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes]) if hashes else np.zeros(0, np.int64)
         place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
         order = np.argsort(flat, kind="stable")
-        self.item, self.place = item[order], place[order]
-        self.keys, self.first, self.times = np.unique(flat[order], return_index=True, return_counts=True)
+        self.item, self.place, flat = item[order], place[order], flat[order]
+        # a pair is a gram and an item that has it: the first of its places, and how many
+        fresh = np.ones(len(flat), bool)
+        fresh[1:] = (flat[1:] != flat[:-1]) | (self.item[1:] != self.item[:-1])
+        self.pair = np.flatnonzero(fresh)
+        self.places = np.diff(np.append(self.pair, len(flat)))
+        self.keys, self.first, self.pairs = np.unique(flat[self.pair], return_index=True, return_counts=True)
+        self.sizes = size
         self.known = np.zeros(1 << _BITS, bool)
         self.known[(self.keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
-    def bands(self, chars: np.ndarray, limits: np.ndarray) -> list[tuple[int, int, int]]:
-        """(text number, item number, band) of bands with enough shared q-grams.
+    def bands(self, chars: np.ndarray, limits: np.ndarray) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+        """((text number, item number, band) of bands with enough shared q-grams; (text, item) pairs that are not counted).
 
-        ``chars``: several texts one after another; ``limits``: where each ends."""
+        ``chars``: several texts one after another; ``limits``: where each ends.  Shared q-grams are counted a bounded
+        stretch at a time.  A text and an item that repeat the same q-grams over and over share them on most diagonals,
+        where counting rules nothing out and takes longer than aligning them whole (`scan`): those are left to that."""
         h = gram_hashes(chars, self.q)
         at = np.flatnonzero(self.known[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
         if not len(at) or not len(self.keys):
-            return []
+            return [], []
         k = np.minimum(np.searchsorted(self.keys, h[at]), len(self.keys) - 1)
         same = self.keys[k] == h[at]
         at, k = at[same], k[same]
         text = np.searchsorted(limits, at, side="right")
         whole = at + self.q <= limits[np.minimum(text, len(limits) - 1)]  # no q-gram spans two texts
         at, k, text = at[whole], k[whole], text[whole]
-        times = self.times[k]
-        posting = np.repeat(self.first[k] - np.cumsum(times) + times, times) + np.arange(times.sum())
-        item, diagonal = self.item[posting], np.repeat(at, times) - self.place[posting]
-        text = np.repeat(text, times)
-        band = diagonal // (self.edits[item] + 1)
-        item, text, band = np.tile(item, 2), np.tile(text, 2), np.concatenate([band, band - 1])
-        if not len(item):
-            return []
-        low = band.min()
-        span = int(band.max() - low + 1)
-        keys, count = np.unique((text * len(self.ids) + item) * span + (band - low), return_counts=True)
-        pair = keys // span
-        enough = count >= self.bound[pair % len(self.ids)]
-        return [(int(p // len(self.ids)), int(p % len(self.ids)), int(b + low))
-                for p, b in zip(pair[enough], keys[enough] % span, strict=True)]
+        many = len(self.ids)
+
+        def pairs(part: slice) -> tuple[np.ndarray, np.ndarray]:
+            """(hit, pair) of the hits of a stretch."""
+            times = self.pairs[k[part]]
+            return np.repeat(np.arange(part.start, part.stop), times), spread(self.first[k[part]], times)
+
+        totals = Tally()
+        for part in stretches(self.pairs[k]):
+            hit, pair = pairs(part)
+            totals.add(text[hit] * many + self.item[self.pair[pair]], self.places[pair])
+        shared, postings = totals.result()
+        area = np.diff(np.append(0, limits))[shared // many] * self.sizes[shared % many]
+        dense = shared[(postings > DENSE_POSTINGS) & (postings > DENSE_SHARE * area)]
+        counts = Tally()
+        low, span = -int(self.sizes.max()) - 1, len(chars) + int(self.sizes.max()) + 3
+        for part in stretches(self.pairs[k]):
+            hit, pair = pairs(part)
+            if len(dense):
+                keep = ~np.isin(text[hit] * many + self.item[self.pair[pair]], dense)
+                hit, pair = hit[keep], pair[keep]
+            for some in stretches(self.places[pair]):
+                times = self.places[pair[some]]
+                owner, posting = np.repeat(hit[some], times), spread(self.pair[pair[some]], times)
+                item = self.item[posting]
+                band = (at[owner] - self.place[posting]) // (self.edits[item] + 1)
+                key = (text[owner] * many + item) * span - low
+                counts.add(np.concatenate([key + band, key + band - 1]))
+        keys, count = counts.result()
+        enough = count >= self.bound[keys // span % many]
+        return ([(int(x // span // many), int(x // span % many), int(x % span + low)) for x in keys[enough]],
+                [(int(x // many), int(x % many)) for x in dense])
+
+    def scan(self, chars: np.ndarray, item: int) -> list[tuple[int, int, int]]:
+        """(start, end, edits) of places of an item anywhere in a text, the best first, by the whole edit-distance table, a
+        window of the text at a time; no two overlap."""
+        e, wanted = int(self.edits[item]), self.chars[item]
+        m, ends = len(wanted), []
+        reach = m + e
+        for begin in range(0, max(1, len(chars)), WINDOW):
+            first = max(0, begin - reach)
+            window = chars[first:begin + WINDOW]
+            steps = np.arange(len(window) + 1, dtype=np.int32)
+            row = np.zeros(len(window) + 1, np.int32)
+            for c in wanted:
+                moved = row + 1
+                np.minimum(moved[1:], row[:-1] + (window != c), out=moved[1:])
+                row = np.minimum.accumulate(moved - steps) + steps
+            good = np.flatnonzero(row <= e)
+            good = good[(good + first > begin) | (begin == 0)]  # others belong to the window before
+            ends += [(int(row[j]), int(j + first)) for j in good]
+        out: list[tuple[int, int, int]] = []
+        taken = np.zeros(len(chars) + 1, bool)
+        for edits, end in sorted(ends):
+            if taken[max(0, end - m + e):end].any():  # no place is shorter
+                continue
+            length = m if not edits else align(wanted[::-1], chars[:end][::-1][:reach + 1], -e - 1, 2 * e + 3, anchor=0)[1]
+            start = max(0, end - length)
+            if not taken[start:end].any():
+                taken[start:end] = True
+                out.append((start, end, edits))
+        return out
 
     def verify(self, text: str, chars: np.ndarray, item: int, low: int) -> tuple[int, int, int] | None:
         """(start, end, edits) of the item in a text, on the diagonals of a band that begins at ``low``."""
@@ -186,7 +284,15 @@ class Index:
                 end += 1
             chars = codes("".join(plain[begin:end]))
             limits = np.cumsum([len(t) for t in plain[begin:end]])
-            for t, item, band in self.bands(chars, limits):
+            bands, dense = self.bands(chars, limits)
+            for t, item in dense:
+                start = int(limits[t] - len(plain[begin + t]))
+                places = self.scan(chars[start:limits[t]], item)
+                if self.short[item]:
+                    text, end = plain[begin + t], len(self.chars[item])
+                    places = [p for p in places if not joined(text, p[0]) and not joined(text, p[0] + end)]
+                found[begin + t][item] += places
+            for t, item, band in bands:
                 start = int(limits[t] - len(plain[begin + t]))
                 place = self.verify(plain[begin + t], chars[start:limits[t]], item,
                                     band * (int(self.edits[item]) + 1) - start)

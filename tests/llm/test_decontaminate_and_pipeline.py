@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -109,3 +110,32 @@ def test_pipeline_stages(spark):
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     good = {r["doc_id"] for r in corpus_pipeline.STAGES[0][1](spark, start, SF).collect()}
     assert all((i in good) == bool(q) for i, q in labels.items())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repetitive_texts_are_aligned_whole(seed, monkeypatch):
+    """Items and texts that repeat a few q-grams: the same items as by brute force, whichever way is taken."""
+    rnd = random.Random(seed)
+    items = [(i, (u * 40)[:rnd.randint(40, 90)]) for i, u in enumerate(["ab ", "abc", "x y z ", "aab "])]
+    texts = [edited(rnd, (u * 200)[:300], rnd.randint(0, 40)) for u in ["ab ", "abc", "x y z ", "aab ", "q"]] + [items[0][1] + "end"]
+    monkeypatch.setattr(decontaminate, "POSTINGS", 500)  # many stretches
+    counted = decontaminate.Index(items).matches(texts)
+    monkeypatch.setattr(decontaminate, "DENSE_POSTINGS", 100)
+    monkeypatch.setattr(decontaminate, "WINDOW", 120)
+    index = decontaminate.Index(items)
+    aligned = index.matches(texts)
+    for text, found, other in zip(texts, aligned, counted, strict=True):
+        plain, got = decontaminate.normalise(text), {}
+        for r in found:
+            got[r["item_id"]] = min(r["edits"], got.get(r["item_id"], 99))
+        assert set(got) == {r["item_id"] for r in other}
+        for number, item in zip(index.ids, index.texts, strict=True):
+            distance = edits_within(item, plain)
+            assert (number in got) == (distance <= index.edits[index.ids.index(number)])
+            assert number not in got or got[number] == distance
+
+
+def test_repetitive_text_takes_little_time():
+    start = time.perf_counter()
+    found = decontaminate.Index([(i, "ab " * (100 + i)) for i in range(10)]).matches(["ab " * 33_000])
+    assert {r["item_id"] for r in found[0]} == set(range(10)) and time.perf_counter() - start < 30
