@@ -37,8 +37,6 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ecoframe.llm.stages import salted_join
-
 SKIPPABLE_SEEK = 0x184D2A5E
 SKIPPABLE_INDEX = 0x184D2A5D
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -171,16 +169,16 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
                  min_dedup_bytes: int = 1000) -> DataFrame:
     """page_id, url, payload, digest (SHA-1) and refers_to (null: a response).
 
-    Payloads below ``min_dedup_bytes`` have no winner and take no part in the join; the groups of the others are salted."""
+    Payloads below ``min_dedup_bytes`` have no winner: their join key is their page's, which meets none and spreads them."""
     payload = F.encode(F.coalesce(pages[html_col].cast("string"), F.lit("")), "UTF-8")
+    own = F.hex(F.xxhash64(pages[id_col], pages[url_col])).cast("binary")
+    key = F.when(F.length(payload) >= min_dedup_bytes, F.unhex(F.sha2(payload, 256))).otherwise(own)
     rows = pages.select(pages[id_col].cast("long").alias("page_id"), pages[url_col].alias("url"),
-                        payload.alias("payload"), F.unhex(F.sha2(payload, 256)).alias("key"))
+                        payload.alias("payload"), key.alias("key"))
     winners = (rows.filter((F.length("payload") >= min_dedup_bytes) & F.col("page_id").isNotNull())
                .groupBy("key").agg(F.max("page_id").alias("winner"), F.min("page_id").alias("lowest"))
                .filter("winner <> lowest").select("key", "winner"))
-    small = rows.filter(F.length("payload") < min_dedup_bytes).withColumn("winner", F.lit(None).cast("long"))
-    joined = salted_join(rows.filter(F.length("payload") >= min_dedup_bytes), winners, ["key"], "page_id", "left")
-    return (joined.select(*rows.columns, "winner").unionByName(small)
+    return (rows.join(winners, "key", "left")
             .select("page_id", "url", "payload", F.sha1("payload").alias("digest"),
                     F.when(F.col("winner") != F.col("page_id"), F.col("winner")).alias("refers_to")))
 
