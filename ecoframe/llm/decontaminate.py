@@ -10,20 +10,24 @@ text).  e is ``edit_rate`` of the item's length.  Characters are compared lower-
 white space as a blank; positions are those of the original text.
 
 Shared q-grams are counted a bounded number at a time; a text and an item that repeat the same q-grams over and over are aligned whole
-instead, which finds the same.  Every text is filtered whole, where it lies: there is no shuffle.  The benchmark's
-q-gram table is broadcast in blocks of at most ``block_chars`` characters; a
-larger benchmark makes more blocks, each of which sees all texts.
+instead, which finds the same.  Every text is filtered whole, where it lies.  The benchmark's q-gram table is
+broadcast in blocks of about ``block_chars`` characters (items are dealt by a hash of id and text, so an id with many
+texts is dealt too; one item stays whole).  A benchmark of one block needs no shuffle.  Of a larger one, one block
+at a time is broadcast, sees all texts, writes the matches by the digest of the text, and is dropped before the next; the
+matches are then joined to the documents.  So memory does not grow with the benchmark, and the documents are read once a
+block and once more: give them as a table, not as a long plan.
 
 Defined cases: null and empty texts have no matches; items of fewer than ``min_item_chars``
 characters match without edits and between word boundaries only; items that are null, have no id, or
-have fewer than q characters are no evidence and are ignored; equal items are reported each under their own id; an empty
+have fewer than q characters are no evidence and are ignored; equal items are reported each under their own id; an id
+with several texts is matched by each of them (places of one text do not overlap, those of two may; equal places of an id are one); an empty
 benchmark marks nothing; repeated rows are judged each; columns of the documents are
 carried by `clean_rows` and may have any names.
 """
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ecoframe.llm.stages import Stages
+
 Q = 10
 EDIT_RATE = 0.08
 BLOCK_CHARS = 4_000_000
@@ -150,8 +156,8 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], q: int = Q, edit_rate: float = EDIT_RATE,
                  min_chars: int = MIN_ITEM_CHARS):
         self.q = q
-        kept = [(i, t) for i, t in ((i, normalise(t).strip()) for i, t in items if i is not None)
-                if len(t) >= q]
+        kept = list(dict.fromkeys((i, t) for i, t in ((i, normalise(t).strip()) for i, t in items if i is not None)
+                                  if len(t) >= q))
         self.ids, self.texts = [i for i, _ in kept], [t for _, t in kept]
         self.chars = [codes(t) for t in self.texts]
         size = np.array([len(c) for c in self.chars], np.int64)
@@ -301,55 +307,100 @@ class Index:
             begin = end
         out = []
         for by_item in found:
-            rows = []
+            rows = set()
             for item, places in by_item.items():
+                taken: list[tuple[int, int]] = []
                 for start, end, edits in sorted(places, key=lambda p: (p[2], p[0])):
-                    if not any(start < r["end"] and r["start"] < end for r in rows if r["item_id"] == self.ids[item]):
-                        rows.append({"item_id": self.ids[item], "start": start, "end": end, "edits": edits})
-            out.append(sorted(rows, key=lambda r: (r["start"], r["item_id"])))
+                    if not any(start < e and s < end for s, e in taken):
+                        taken.append((start, end))
+                        rows.add((start, self.ids[item], end, edits))
+            out.append([{"item_id": i, "start": start, "end": end, "edits": edits} for start, i, end, edits in sorted(rows)])
         return out
 
 
-def _blocks(benchmark: DataFrame, id_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple[int, str]]]:
-    items = benchmark.select(benchmark[id_col].cast("long").alias("id"), benchmark[text_col].alias("text")).filter(
-        "id IS NOT NULL AND text IS NOT NULL")
-    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
-    blocks = -(-size // block_chars)
-    for k in range(blocks):
-        part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k)
-        yield [(r["id"], r["text"]) for r in part.collect()]  # about block_chars characters
+def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(benchmark[id_col].cast("long").alias("id"), benchmark[text_col].alias("text")).filter(
+        "id IS NOT NULL AND text IS NOT NULL").distinct()
+
 
+def _block(items: DataFrame, number: int, blocks: int) -> list[tuple[int, str]]:
+    """One of ``blocks`` shares of the items, of about equal size."""
+    part = items if blocks == 1 else items.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == number)
+    return [(r["id"], r["text"]) for r in part.collect()]
 
-def _search(shared: Broadcast):
+
+def _search(shared: Broadcast) -> Callable[[Column], Column]:
     def search(texts: pa.Array) -> pa.Array:
         return pa.array(shared.value.matches(texts.to_pylist()), _ARROW)
 
     return F.arrow_udf(search, MATCHES)
 
 
-def find_items(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
+def _search_rows(shared: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            matches = shared.value.matches(batch.column(1).to_pylist())
+            hits = [k for k, found in enumerate(matches) if found]
+            if hits:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(hits)), pa.array([matches[k] for k in hits], _ARROW)],
+                                                 ["digest", "matches"])
+
+    return search
+
+
+def _by_digest(rows: DataFrame, items: DataFrame, blocks: int, index: Callable[[list], Index]) -> DataFrame:
+    """digest and matches of the texts that have some, of the blocks one after another: at any time one is broadcast."""
+    spark = rows.sparkSession
+    stages = Stages(spark, "decontaminate")
+    items, texts = stages.write(items, "items"), rows.select(F.sha2("_text", 256).alias("digest"), "_text").filter("_text IS NOT NULL")
+    found = None
+    for number in range(blocks):
+        shared = spark.sparkContext.broadcast(index(_block(items, number, blocks)))
+        hits = texts.mapInArrow(_search_rows(shared), f"digest string, matches {MATCHES}")
+        # copies of a text have the same matches
+        part = stages.write(hits.groupBy("digest").agg(F.first("matches").alias("matches")), f"block-{number}")
+        shared.destroy()
+        found = part if found is None else found.unionByName(part)
+    by_place = F.array_sort(F.transform(F.flatten(F.collect_list("matches")), lambda m: F.struct(
+        m["start"].alias("start"), m["item_id"].alias("item_id"), m["end"].alias("end"), m["edits"].alias("edits"))))
+    matches = F.transform(F.array_distinct(by_place), lambda m: F.struct(
+        m["item_id"].alias("item_id"), m["start"].alias("start"), m["end"].alias("end"), m["edits"].alias("edits")))
+    together = stages.write(found.groupBy("digest").agg(matches.alias("_matches")), "matches")
+    stages.remove("items", *[f"block-{number}" for number in range(blocks)])
+    return together
+
+
+def find_items(docs: DataFrame, benchmark: DataFrame, carry: Column, text_col: str = "text", item_id_col: str = "item_id",
                item_text_col: str = "text", q: int = Q, edit_rate: float = EDIT_RATE,
-               block_chars: int = BLOCK_CHARS, min_item_chars: int = MIN_ITEM_CHARS) -> Column:
-    """Column of the matches of a text with all benchmark items."""
-    spark = docs.sparkSession
-    columns = []
-    for items in _blocks(benchmark, item_id_col, item_text_col, block_chars):
-        shared = spark.sparkContext.broadcast(Index(items, q, edit_rate, min_item_chars))
+               block_chars: int = BLOCK_CHARS, min_item_chars: int = MIN_ITEM_CHARS) -> DataFrame:
+    """``_row`` (``carry`` of a document) and ``_matches``: the places of benchmark items in its text (an empty array if none)."""
+    items = _items(benchmark, item_id_col, item_text_col)
+    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
+    blocks = -(-size // block_chars)
+    rows = docs.select(carry.alias("_row"), docs[text_col].alias("_text"))
+
+    def index(part: list[tuple[int, str]]) -> Index:
+        return Index(part, q, edit_rate, min_item_chars)
 
-        columns.append(_search(shared)(docs[text_col]))
-    if not columns:
-        return F.array().cast(MATCHES)
-    return F.concat(*columns) if len(columns) > 1 else columns[0]
+    none = F.array().cast(MATCHES)
+    if not blocks:
+        return rows.select("_row", none.alias("_matches"))
+    if blocks == 1:
+        shared = docs.sparkSession.sparkContext.broadcast(index(_block(items, 0, 1)))
+        return rows.select("_row", _search(shared)(F.col("_text")).alias("_matches"))
+    found = _by_digest(rows, items, blocks, index)
+    # few texts have matches: Spark broadcasts a small table of them by its size on disk, and splits hot digests of a large one
+    joined_rows = rows.select("_row", F.sha2("_text", 256).alias("digest")).join(found, "digest", "left")
+    return joined_rows.select("_row", F.coalesce("_matches", none).alias("_matches"))
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per document: id, contaminated, n_items, matches (item, place in the text, edits)."""
-    rows = docs.select(docs[id_col], find_items(docs, benchmark, text_col, **options).alias("matches"))
-    return rows.select(rows[id_col], (F.size("matches") > 0).alias("contaminated"),
-                       F.size(F.array_distinct(F.col("matches.item_id"))).alias("n_items"), "matches")
+    rows = find_items(docs, benchmark, docs[id_col], text_col, **options)
+    return rows.select(F.col("_row").alias(id_col), (F.size("_matches") > 0).alias("contaminated"),
+                       F.size(F.array_distinct(F.col("_matches.item_id"))).alias("n_items"), F.col("_matches").alias("matches"))
 
 
 def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **options) -> DataFrame:
     """The rows without any match, with their columns."""
-    return (docs.select(F.struct("*").alias("_row"), find_items(docs, benchmark, text_col, **options).alias("_matches"))
-            .filter(F.size("_matches") == 0).select("_row.*"))
+    return find_items(docs, benchmark, F.struct("*"), text_col, **options).filter(F.size("_matches") == 0).select("_row.*")

@@ -81,6 +81,51 @@ def test_report_and_clean_rows(spark):
     assert decontaminate.report(docs.limit(0), bench).count() == 0
 
 
+def test_blocks_find_what_one_block_finds(spark):
+    """Places, edits and kept rows are those of one block, with an id that holds many texts, repeated rows and copies."""
+    rnd = random.Random(5)
+    prose = lambda n: "".join(rnd.choice("abcde  ") for _ in range(n))
+    items = [(1 if i % 3 == 0 else i, prose(rnd.randint(20, 120))) for i in range(30)]
+    items += [items[0], (1, items[3][1].upper()), (None, prose(50)), (7, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [prose(40) + edited(rnd, rnd.choice(items[:30])[1], rnd.randint(0, 3)) + prose(40) for _ in range(20)]
+    texts += [items[0][1] + items[1][1] + items[0][1], texts[0], texts[0], prose(200), "", None]
+    rows = [(i, t, "d", 0, "r") for i, t in enumerate(texts)] + [(3, texts[3], "d", 0, "r")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest string, _matches int, _row string")
+    key = lambda r: (r["doc_id"], r["contaminated"], r["n_items"], tuple(tuple(m) for m in r["matches"]))
+    whole = sorted(map(key, decontaminate.report(docs, bench).collect()))
+    some = sorted(map(key, decontaminate.report(docs, bench, block_chars=300).collect()))
+    assert whole == some and len(some) == len(rows) and any(len(r[3]) > 1 for r in some)
+    kept = decontaminate.clean_rows(docs, bench, block_chars=300)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r[0] for r in whole if not r[1])
+    assert sorted(kept.collect(), key=str) == sorted(decontaminate.clean_rows(docs, bench).collect(), key=str)
+
+
+def test_blocks_are_dealt_by_text_and_dropped_one_by_one(spark, monkeypatch):
+    """An id with all texts is dealt over the blocks, and a block is dropped before the next is broadcast."""
+    bench = spark.range(400).selectExpr("7L AS item_id", "concat(repeat(concat('w', id, ' '), 8), 'end') AS text")
+    docs = spark.range(50).selectExpr("id AS doc_id", "concat('so ', repeat(concat('w', id * 10, ' '), 8), 'end') AS text")
+    sizes, alive, most = [], set(), []
+    make, destroy = decontaminate.Index.__init__, decontaminate.Broadcast.destroy
+
+    def made(self, items, *options):
+        sizes.append(sum(len(t) for _, t in items))
+        alive.add(len(sizes))
+        most.append(len(alive))
+        make(self, items, *options)
+
+    def destroyed(self, *options):
+        alive.clear()
+        destroy(self, *options)
+
+    monkeypatch.setattr(decontaminate.Index, "__init__", made)
+    monkeypatch.setattr(decontaminate.Broadcast, "destroy", destroyed)
+    got = decontaminate.report(docs, bench, block_chars=2_000).collect()
+    assert all(r["contaminated"] for r in got if r["doc_id"] < 40) and not any(r["contaminated"] for r in got if r["doc_id"] >= 40)
+    assert len(sizes) > 5 and max(sizes) < 2 * 2_000 and max(most) == 1
+
+
 def test_sample_documents_with_whole_items_are_found(spark):
     docs, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     items = [decontaminate.normalise(r["text"]) for r in bench.collect()]
