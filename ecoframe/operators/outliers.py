@@ -13,11 +13,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ecoframe.functions.expressions import abs_diff, col_of
-from ecoframe.operators.quantiles import exact_quantiles
+from ecoframe.operators.quantiles import exact_quantiles, quantiles_between, sketch_marks
 from ecoframe.schema import IQR_FACTOR, OUTLIER_GROUP, OUTLIER_ORDER
 from ecoframe.session import discard, materialize  # noqa: F401  (re-exported)
 
@@ -42,9 +42,16 @@ def with_distance(df: DataFrame, target: str, group: list = OUTLIER_GROUP) -> Da
     return j.withColumn(f"diff_{target}", abs_diff(target, f"{target}_mean"))
 
 
-def iqr_threshold(df: DataFrame, dist_col: str, factor: float = IQR_FACTOR) -> float:
-    """``round(Q3 + factor * (Q3 - Q1), 1)`` with numpy rounding."""
-    q1, q3 = exact_quantiles(df, dist_col, [0.25, 0.75])
+QUARTILES = [0.25, 0.75]
+
+
+def iqr_threshold(df: DataFrame, dist_col: str, factor: float = IQR_FACTOR, sketched: dict | None = None) -> float:
+    """``round(Q3 + factor * (Q3 - Q1), 1)`` with numpy rounding; NaN without distances.
+
+    ``sketched``: what a sketch of the distances found while they were written (``marks``)."""
+    q1, q3 = exact_quantiles(df, dist_col, QUARTILES) if sketched is None else quantiles_between(df, dist_col, QUARTILES, sketched["marks"])
+    if q1 is None:
+        return float("nan")
     return float(np.round(np.float64(q3) + factor * (np.float64(q3) - np.float64(q1)), 1))
 
 
@@ -77,10 +84,12 @@ def outlier_chain(df: DataFrame, targets: list = OUTLIER_ORDER, group: list = OU
     cur = df
     reports, written = [], None
     for t in targets:
-        # written once: quantiles, counts and the next pass read this table, the last with a pushed-down filter
-        j = materialize(with_distance(cur, t, group).select(*[col_of(c) for c in cols], f"diff_{t}"), f"outlier-{t}")
+        # written once, the quartiles sketched on the way: exact quantiles, counts and the next pass read this table, the last
+        # with a pushed-down filter
+        distances, sketch = with_distance(cur, t, group).select(*[col_of(c) for c in cols], f"diff_{t}"), Observation()
+        j = materialize(distances.observe(sketch, sketch_marks(f"diff_{t}", QUARTILES).alias("marks")), f"outlier-{t}")
         d = F.col(f"diff_{t}")
-        seuil = iqr_threshold(j, f"diff_{t}", factor)
+        seuil = iqr_threshold(j, f"diff_{t}", factor, sketch.get)
         counts = j.agg(F.count_if(d >= F.lit(seuil)).alias("above"),
                        F.count_if(d <= F.lit(seuil)).alias("kept")).first()
         kept = j.filter(d <= F.lit(seuil)).select(*[col_of(c) for c in cols])

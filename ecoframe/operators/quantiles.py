@@ -18,13 +18,19 @@ and all wanted ranks together:
 An interval's two ends always fall into different bins, so every pass narrows
 it and the search ends.  A pass returns at most ``buckets`` rows per open
 interval, whatever the column holds; no values are fetched.
+
+A job that writes the column can take a mergeable sketch on the way
+(`sketch_marks`, an aggregate for ``observe``): values just below and above every wanted
+quantile.  `quantiles_between` then starts with one scan that counts the rows at and between these
+marks instead of step 1 and a histogram of the whole range.  The zones cover all values, so the result is exact whatever
+the sketch says; a poor mark only leaves a wider interval to narrow.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ecoframe.functions.expressions import col_of
@@ -106,6 +112,42 @@ def exact_quantiles_of(df: DataFrame, cols: list, probs: list, buckets: int = 10
     return out
 
 
+def sketch_marks(col, probs: list, accuracy: int = 10_000) -> Column:
+    """Aggregate: finite values of ``col`` two sketch errors below and above every quantile, in order (null without values)."""
+    x, off = col_of(col).cast("double"), 2.0 / accuracy
+    places = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-off, off)})
+    return F.percentile_approx(F.when(F.abs(x) < F.lit(float("inf")), x), places, accuracy)
+
+
+def quantiles_between(df: DataFrame, col, probs: list, marks: list | None, buckets: int = 1024) -> list:
+    """Quantiles of one column, as `exact_quantiles`, from the ``marks`` of a sketch."""
+    x = _long_form(df.select(col_of(col).alias("x")), ["x"])
+    zone = F.lit(0)
+    for cut in sorted({float("-inf"), *(marks or []), float("inf")}):
+        zone = zone + (F.col("x") >= F.lit(cut)).cast("int") + (F.col("x") > F.lit(cut)).cast("int")
+    zones = sorted(x.groupBy(zone.alias("zone")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
+                                                     F.max("x").alias("hi")).collect())
+    n, below, wanted, known = sum(z["n"] for z in zones), 0, [], {}
+    if not n:
+        return [None] * len(probs)
+    need = {min(math.floor(p * (n - 1)) + d, n - 1) for p in probs for d in (0, 1)}
+    for z in zones:
+        hit = [r for r in need if below <= r < below + z["n"]]
+        if z["lo"] == z["hi"]:
+            known.update({r: z["lo"] for r in hit})
+        else:
+            wanted.append((0, z["lo"], z["hi"], below, hit))
+        below += z["n"]
+    known |= {r: v for (_, r), v in order_statistics(x, wanted, buckets).items()}
+    return [_interpolated(known, p * (n - 1), n) for p in probs]
+
+
+def _interpolated(values: dict, pos: float, n: int) -> float:
+    """Value at the place ``pos`` between the ranks that ``values`` holds."""
+    low, t = values[math.floor(pos)], pos - math.floor(pos)
+    return low if t == 0 else low + (values[min(math.floor(pos) + 1, n - 1)] - low) * t
+
+
 def exact_quantiles(df: DataFrame, col, probs: list, buckets: int = 1024) -> list:
     """Quantiles of one column (see `exact_quantiles_of`)."""
     return exact_quantiles_of(df.select(col_of(col).alias("x")), ["x"], probs, buckets)["x"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ecoframe.operators import features as FE
 from ecoframe.operators import knn as KNN
 from ecoframe.operators import outliers as OU
-from ecoframe.operators.quantiles import exact_quantiles
+from ecoframe.operators.quantiles import exact_quantiles, quantiles_between, sketch_marks
 from ecoframe.operators.windows import rank_within_groups, running_sum
 
 
@@ -26,6 +26,32 @@ def test_exact_quantiles_match_pandas(spark, buckets):
     assert all(math.isclose(a, b, rel_tol=0, abs_tol=1e-12) for a, b in zip(got, want))
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_quantiles_between_marks_are_exact_whatever_the_marks(spark, seed):
+    rnd, inf = random.Random(seed), float("inf")
+    xs = [rnd.choice([rnd.gauss(0, 1e3), 5.0, round(rnd.random(), 1), 0.0]) for _ in range(1500)] + [None, float("nan"), None]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    want = exact_quantiles(df, "x", probs)
+    assert want == pytest.approx(np.quantile([x for x in xs if x is not None and x == x], probs).tolist(), rel=0, abs=1e-9)
+    for marks in (df.agg(sketch_marks("x", probs)).first()[0], None, [5.0], [-1e9, 1e9], [0.05], [inf]):
+        assert quantiles_between(df, "x", probs, marks, buckets=16) == want
+    ends = df.select("x").union(spark.createDataFrame([(inf,)] * 900 + [(-inf,)] * 900, "x double"))
+    marks = ends.agg(sketch_marks("x", [0.1, 0.5, 0.9])).first()[0]
+    assert all(abs(m) < inf for m in marks)
+    np.testing.assert_array_equal(quantiles_between(ends, "x", [0.1, 0.5, 0.9], marks), exact_quantiles(ends, "x", [0.1, 0.5, 0.9]))
+    assert quantiles_between(df.filter("x > 1e12 AND NOT isnan(x)"), "x", [0.5], None) == [None]
+
+
+def test_chain_of_an_empty_table(spark):
+    """No rows, or no group with a mean: nothing is kept and the thresholds are NaN."""
+    schema = "cn string, ft string, year int, v double"
+    for rows in ([], [(None, "D", 2021, 1.0)]):
+        df = spark.createDataFrame(rows, schema)
+        out, reports = OU.outlier_chain(df, ["v"], ["cn", "ft", "year"])
+        assert out.count() == 0 and math.isnan(reports[0].threshold) and reports[0].rows_after == 0
+
+
 def test_outlier_pass_matches_pandas(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice(["a", "b", None]), rnd.choice(["D", "E"]), rnd.choice([2021, 2022]),
