@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ecoframe.llm import decontaminate, exact_dedup, mixing, near_dedup, quality
-from ecoframe.llm.stages import Stages
+from ecoframe.llm.stages import Stages, owned
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,10 +56,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, over the documents of ``sf_dir``."""
+    """The rows of the last stage, over the documents of ``sf_dir``.  Tables that an operator leaves go when its stage is written."""
     stages, docs, before = Stages(spark, "pipeline"), _table(spark, sf_dir, "documents"), None
     for name, apply in STAGES:
-        docs = stages.write(apply(spark, docs, sf_dir), name)
+        with owned():
+            docs = stages.write(apply(spark, docs, sf_dir), name)
         if before:
             stages.remove(before)
         before = name

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,24 +14,49 @@ from ecoframe.session import scratch_path
 SALTS = 32
 
 
+_OWNED: ContextVar[list[Stages] | None] = ContextVar("owned", default=None)
+
+
 class Stages:
     """Tables written for one run below the shared work folder.
 
     They survive lost executors; those that no later step reads are removed as
-    soon as the step after them is written."""
+    soon as the step after them is written.  Tables that the (lazy) result of an operator still reads stay, until the
+    end of the `owned` block, if any, in which the operator was called."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base = spark, scratch_path(spark, name)
+        made = _OWNED.get()
+        if made is not None:
+            made.append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{self.base}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.base}/{name}")
 
     def remove(self, *names: str) -> None:
-        jvm = self.spark.sparkContext._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(f"{self.base}/{name}")
+
+    def remove_all(self) -> None:
+        self._delete(self.base)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def owned() -> Iterator[None]:
+    """Tables of the operators called inside are removed at the end, also after an error: write their results before."""
+    made: list[Stages] = []
+    token = _OWNED.set(made)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for stages in made:
+            stages.remove_all()
 
 
 def partitions(spark: SparkSession) -> int:

@@ -1,9 +1,12 @@
+import os
 import random
 import time
+from pathlib import Path
 
 import pytest
 
-from ecoframe.llm import decontaminate
+from ecoframe.llm import decontaminate, stages
+from ecoframe.session import work_dir
 from tests_llm_paths import SF
 
 
@@ -150,13 +153,36 @@ def test_pipeline_stages(spark):
         steps.append(len(rows))
         docs = spark.createDataFrame([tuple(r) for r in rows], out.schema)
     assert start.count() > steps[0] > steps[1] > steps[2] >= steps[3] > steps[4] > 0
+    folder = Path(work_dir(spark).removeprefix("file:"))
+    old = set(os.listdir(folder))
     got = corpus_pipeline.run(spark, SF)
+    (left,) = set(os.listdir(folder)) - old  # no operator leaves a table
+    assert os.listdir(folder / left) == ["mix"]
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(r["doc_id"] for r in docs.collect())
     labels = {r["doc_id"]: r["quality"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     good = {r["doc_id"] for r in corpus_pipeline.STAGES[0][1](spark, start, SF).collect()}
     assert all((i in good) == bool(q) for i, q in labels.items())
 
 
+def test_owned_tables_go_at_the_end(spark):
+    outer = stages.Stages(spark, "outer")
+    kept = outer.write(spark.range(3), "kept")
+    with stages.owned():
+        inner = stages.Stages(spark, "inner")
+        rows = inner.write(spark.range(5), "rows")
+        with stages.owned():
+            deeper = stages.Stages(spark, "deeper")
+            deeper.write(spark.range(1), "rows")
+        assert rows.count() == 5 and not os.path.exists(deeper.base.removeprefix("file:"))
+    assert not os.path.exists(inner.base.removeprefix("file:")) and kept.count() == 3
+    with pytest.raises(KeyError), stages.owned():
+        lost = stages.Stages(spark, "lost")
+        lost.write(spark.range(1), "rows")
+        raise KeyError
+    assert not os.path.exists(lost.base.removeprefix("file:"))
+    assert stages.Stages(spark, "free").write(spark.range(2), "rows").count() == 2  # without an owner nothing goes
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_repetitive_texts_are_aligned_whole(seed, monkeypatch):
     """Items and texts that repeat a few q-grams: the same items as by brute force, whichever way is taken."""
