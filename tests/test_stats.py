@@ -144,3 +144,44 @@ def test_knn_matches_brute_force(spark):
     for qid, qx, qy, _ in query:
         d = sorted((math.hypot(x - qx, y - qy), tid, lab) for tid, x, y, lab in train)[:5]
         assert math.isclose(got[qid], sum(t[2] for t in d) / 5)
+
+
+def _plans(monkeypatch, module):
+    """Optimized and physical plans of what ``module`` writes, by table name."""
+    plans, write = {}, module.materialize
+
+    def spied(df, name):
+        q = df._jdf.queryExecution()
+        plans[name] = (q.optimizedPlan().toString(), q.executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(module, "materialize", spied)
+    return plans
+
+
+def test_fuel_stage_needs_one_aggregate_of_the_raw_rows(spark, tmp_path, monkeypatch):
+    from ecoframe.plans import vehicles as V
+    spark.createDataFrame([(1, 1, 1, 1, 0.05), (1, 1, 1, 1, 0.05), (2, 2, 12, 1, 0.1), (3, 1, 2, 1, None)],
+                          "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_discount double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, "red", 3), (2, "blue", 4)], "p_partkey long, p_name string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.sql("SELECT id AS o_orderkey, TIMESTAMP '1995-01-01' AS o_orderdate FROM range(1, 4)").write.parquet(f"{tmp_path}/orders.parquet")
+    plans = _plans(monkeypatch, V)
+    assert V.fuel(spark, str(tmp_path)).count() == 1  # the second row's fuel is unknown, the third has a null
+    optimized, _ = plans["fuel-v2"]
+    assert optimized.count("Aggregate [") == 1 and "CollectMetrics" not in optimized
+    assert V.raw_counts(spark, str(tmp_path)) == {"src": 2, "dedup": 2}
+
+
+def test_chain_shuffles_no_rows_and_keeps_null_keys_out(spark, monkeypatch):
+    rnd = random.Random(9)
+    rows = [(rnd.choice(["x", "y", None]), rnd.choice(["g", "h"]), rnd.choice([2021, 2022, None]), rnd.gauss(100, 9), rnd.gauss(5, 2)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "cn string, ft string, year int, a double, b double")
+    want = df
+    for t in ("a", "b"):
+        want, _ = OU.outlier_pass(want, t, keep_helpers=False)
+    plans = _plans(monkeypatch, OU)
+    got, reports = OU.outlier_chain(df, ["a", "b"])
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.columns == df.columns
+    assert reports[-1].rows_after == got.count() > 0
+    for t in ("a", "b"):
+        assert "Exchange hashpartitioning" not in plans[f"outlier-{t}"][1]
