@@ -112,6 +112,32 @@ def test_no_split_of_the_final_forest_is_too_small(spark):
     assert all(m.n == m.n_rows and abs(m.mean - m.value) < 1e-9 for m in means)
 
 
+def test_training_rows_of_a_task_are_bounded(spark):
+    rows = spark.range(1000, numPartitions=2)
+    many = MD.spread(rows, 100)
+    assert many.rdd.getNumPartitions() == 10 and many.count() == 1000
+    assert max(len(p) for p in many.rdd.glom().collect()) < 200
+    assert MD.spread(rows, 500).rdd.getNumPartitions() == 2
+
+
+def test_dashboard_forest_is_not_kept(spark, monkeypatch):
+    from ecoframe.plans import registry as R
+    df = spark.createDataFrame([(f"k{i}", *(float(i % (j + 2)) for j in range(len(R.DASHBOARD_FEATURES))), float(i % 2)) for i in range(40)],
+                               ", ".join(["row_key string", *[f"{c} double" for c in R.DASHBOARD_FEATURES], f"{R.TARGET} double"]))
+    memo = {}
+    monkeypatch.setattr(R.V, "_once", lambda spark, sf, stage, rule, make: memo.setdefault(stage, make()))
+    monkeypatch.setattr(R.M, "train_test", lambda spark, sf: (df, df))
+    monkeypatch.setitem(MD.RF_DEFAULT, "numTrees", 2)
+    assert R.q_rf_default(spark, "none").count() == 40
+    assert list(memo) == ["predictions-rf_default-"]
+
+
+def test_landed_requests_grow_in_files_not_in_file_size():
+    from ecoframe.plans import registry as R
+    assert R._files_per_batch(0) == R._files_per_batch(1000) == 2
+    assert R._files_per_batch(9_000_000) == 9_000_000 / 3 / R.REQUEST_ROWS
+
+
 def test_category_list_refuses_a_column_without_categories(spark):
     df = spark.range(50).selectExpr("cast(id as string) AS c")
     assert len(FE.category_list(df, "c")) == 50
