@@ -5,6 +5,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from ecoframe.operators import artifacts as AR
@@ -120,6 +121,30 @@ def test_training_rows_of_a_task_are_bounded(spark):
     assert MD.spread(rows, 500).rdd.getNumPartitions() == 2
 
 
+def test_final_forest_counts_equal_rows_once(spark):
+    rows = [(float(i % 50), float(i % 7), "xyz"[i % 3], float(i * i % 11)) for i in range(300)]
+    df = spark.createDataFrame([r for i, r in enumerate(rows) for _ in range(1 + i % 5)], "a double, b double, c string, y double")
+    model = MD.fit_model(df, "rf_final", ["a", "b"], ["c"], "y", scale=False, numTrees=5)
+    path = FO.save_forest(model.stages[-1], scratch_path(spark, "weighted"))
+    roots = spark.read.parquet(f"{path}/data").filter("nodeData.id = 0").select("nodeData.rawCount").collect()
+    assert {r.rawCount for r in roots} == {300}
+    nodes = FO.node_table(spark, path)
+    assert {r.n_rows for r in nodes.filter("id = 0").collect()} == {df.count()} == {900}
+    assert nodes.filter("left <> -1").agg({"n_rows": "min"}).first()[0] >= 9
+    # the forest is the one grown on every row
+    stages = MD.feature_pipeline(["a", "b"], ["c"], False) + [MD.estimator("rf_final", numTrees=5)]
+    plain = Pipeline(stages=stages).fit(df.withColumn("label", F.col("y")))
+    whole = PipelineModel([*plain.stages[:-1], FO.min_split_forest(plain.stages[-1], MD.RF_FINAL_MIN_SPLIT)])
+    both = [MD.predict(m, df.dropDuplicates(), ["a", "b", "c", "y"]).collect() for m in (model, whole)]
+    one, other = ({r[:4]: r.y_pred for r in side} for side in both)
+    assert one.keys() == other.keys() and all(abs(one[k] - other[k]) < 1e-9 for k in one)
+    placed = MD.together(df)
+    for stage in model.stages[:-1]:
+        placed = stage.transform(placed)
+    means = FO.leaf_means(model.stages[-1], placed, "y", MD.WEIGHT).join(FO.leaves(nodes), ["tree", "leaf"], "full").collect()
+    assert all(m.n == m.n_rows and abs(m.mean - m.value) < 1e-9 for m in means)
+
+
 def test_dashboard_forest_is_not_kept(spark, monkeypatch):
     from ecoframe.plans import registry as R
     df = spark.createDataFrame([(f"k{i}", *(float(i % (j + 2)) for j in range(len(R.DASHBOARD_FEATURES))), float(i % 2)) for i in range(40)],
