@@ -121,6 +121,19 @@ def test_training_rows_of_a_task_are_bounded(spark):
     assert MD.spread(rows, 500).rdd.getNumPartitions() == 2
 
 
+def test_training_rows_of_a_forest_are_dealt_in_few_tasks(spark, monkeypatch):
+    cores, seen = spark.sparkContext.defaultParallelism, []
+    monkeypatch.setattr(MD, "TREE_ROWS", 100)
+    monkeypatch.setattr(MD.Pipeline, "fit", lambda self, data: seen.append((data.rdd.getNumPartitions(), data.count())))
+    for n in (90, 100 * cores, 2000 * cores):
+        rows = spark.range(n, numPartitions=1).selectExpr("cast(id as double) a", "cast(id % 7 as double) y")
+        MD.fit_model(rows, "rf_default", ["a"], [], "y", scale=False)
+    assert seen == [(1, 90), (cores, 100 * cores), (cores, 2000 * cores)]
+    monkeypatch.setattr(MD, "FOREST_ROWS", 900)
+    MD.fit_model(rows, "rf_default", ["a"], [], "y", scale=False)
+    assert seen[-1] == (3 * cores, 2000 * cores)
+
+
 def test_final_forest_counts_equal_rows_once(spark):
     rows = [(float(i % 50), float(i % 7), "xyz"[i % 3], float(i * i % 11)) for i in range(300)]
     df = spark.createDataFrame([r for i, r in enumerate(rows) for _ in range(1 + i % 5)], "a double, b double, c string, y double")
