@@ -82,6 +82,39 @@ def test_neighbours_with_equal_distances_and_one_site(spark):
     assert got == {1: 1.0, 2: 1.0, 3: None, 4: None}
 
 
+def _brute(x, y, ids, q, k):
+    d = np.zeros(len(x))
+    for j in range(x.shape[1]):
+        d += (x[:, j] - q[j]) ** 2
+    return y[np.lexsort((ids, np.sqrt(d)))[:k]].mean()
+
+
+def test_neighbours_across_cells(spark):
+    rng = np.random.default_rng(11)
+    x = np.column_stack([rng.integers(0, 12, 900), rng.integers(0, 9, 900) * 0.5, rng.random(900) < 0.1]).astype(float)  # many equal distances
+    x[:4] = [[1e6, -1e6, 0], [3e6, 0, 1], [-5e6, 5e6, 0], [1e6, -1e6, 1]]
+    y, ids = rng.integers(0, 1000, 900).astype(float), np.array([f"r{i * 7 % 900:04d}" for i in range(900)])
+    names = ["a", "b", "c"]
+    df = spark.createDataFrame([(str(i), *map(float, v), float(t)) for i, v, t in zip(ids, x, y)], "id string, a double, b double, c double, y double")
+    q = np.concatenate([x[:60], rng.normal(5, 4, (60, 3)), [[2e6, 0.0, 0.0]]])
+    query = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(q)], "id int, a double, b double, c double")
+    report = {}
+    got = {r.id: r.prediction for r in KNN.knn_regress(df, query, names, "y", "id", "id", k=5, cell=16, report=report).collect()}
+    assert report["cells"] >= 4
+    assert all(abs(got[i] - _brute(x, y, ids, v, 5)) < 1e-9 for i, v in enumerate(q))
+
+
+def test_compared_sites_of_a_query_do_not_grow_with_the_table():
+    rng = np.random.default_rng(4)
+    compared = []
+    for n in (4_000, 64_000):
+        cell = KNN._Sites(KNN.pa.table({"_v": KNN.pa.array(list(rng.random((n, 3)))), "_lab": [[{"_tid": i, "_y": 0.0}] for i in range(n)]}), 3, 5)
+        queries = rng.random((100, 3))
+        compared.append(cell.size[cell.leaves(queries, np.full(100, np.inf))[2]].sum() / 100)
+        assert cell.size.max() <= KNN.LEAF
+    assert compared[1] < 1.5 * compared[0] < 1000
+
+
 # --- forest as a table ------------------------------------------------------------------
 
 def test_no_split_of_the_final_forest_is_too_small(spark):
