@@ -12,6 +12,7 @@ from ecoframe.operators import artifacts as AR
 from ecoframe.operators import evaluate as EV
 from ecoframe.operators import features as FE
 from ecoframe.operators import forest as FO
+from ecoframe.operators import grow as GR
 from ecoframe.operators import knn as KNN
 from ecoframe.operators import linear as LS
 from ecoframe.operators import models as MD
@@ -191,6 +192,69 @@ def test_final_forest_counts_equal_rows_once(spark):
     assert all(m.n == m.n_rows and abs(m.mean - m.value) < 1e-9 for m in means)
 
 
+def _noisy_rows(spark, n=3000):
+    rng = np.random.default_rng(0)
+    rows = [(float(a), float(b) / 2, "xyz"[i % 3], float(round(a * b * 3 + i % 3 * 7 + e)) / 8) for i, (a, b, e) in enumerate(rng.integers(0, 60, (n, 3)))]
+    return spark.createDataFrame(rows, "a double, b double, c string, y double")
+
+
+def test_trees_grown_whole_are_those_of_the_library(spark, monkeypatch):
+    df, tables, fitted = _noisy_rows(spark), [], []
+    fit = MD.estimator("rf_final").__class__.fit
+    monkeypatch.setattr(MD.estimator("rf_final").__class__, "fit", lambda self, data: fitted.append(data.count()) or fit(self, data))
+    for most in (10**6, 10):
+        monkeypatch.setattr(MD, "GROWN_ROWS", most)
+        model = MD.fit_model(df, "rf_final", ["a", "b"], ["c"], "y", scale=False, numTrees=2, featureSubsetStrategy="all")
+        nodes = FO.node_table(spark, FO.save_forest(model.stages[-1], scratch_path(spark, "grown")))
+        tables.append({(r.tree, r.id): r for r in nodes.collect()})
+    assert fitted[-1] <= 4  # the library grew none of it
+    one, other = tables
+    assert one.keys() == other.keys() and len(one) > 1000
+    for k, r in one.items():
+        s = other[k]
+        assert (r.left, r.right, r.n_rows, r.feature, r.threshold, r.left_categories) == (s.left, s.right, s.n_rows, s.feature, s.threshold, s.left_categories)
+        assert abs(r.value - s.value) < 1e-9
+
+
+def test_bootstrap_of_equal_rows_draws_each(spark, monkeypatch):
+    rows = _noisy_rows(spark, 500)
+    df = rows.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(4)))).drop("k")
+    monkeypatch.setattr(MD, "GROWN_ROWS", 10)
+    errors = []
+    for _ in range(2):
+        model = MD.fit_model(df, "rf_default", ["a", "b"], [], "y", scale=False, numTrees=40)
+        path = FO.save_forest(model.stages[-1], scratch_path(spark, "drawn"))
+        drawn = [r.n_rows for r in FO.node_table(spark, path).filter("id = 0").orderBy("tree").collect()]
+        errors.append((drawn, EV.regression_metrics(MD.predict(model, df, [], "y")).first()["r2"]))
+    assert len(set(drawn)) > 10 and all(abs(n - 2000) < 6 * 2000 ** 0.5 for n in drawn) and abs(np.mean(drawn) - 2000) < 45
+    assert errors[0][0] == errors[1][0] and errors[0][1] > 0.95
+    with pytest.raises(Exception):
+        MD.fit_model(df.withColumn("a", F.when(F.col("a") > 5, F.col("a"))), "rf_default", ["a", "b"], [], "y", scale=False, numTrees=2)
+
+
+def test_blocks_of_nodes_and_mapped_columns_change_no_tree(monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.integers(0, 40, 4000), rng.integers(0, 9, 4000), rng.integers(0, 3, 4000)]).astype(np.uint8)
+    layout = GR.Layout([np.arange(39.0), np.arange(8.0)], [(2, 3)], 5)
+    rows = GR.Rows(x, np.round(x[0] * 1.0 * x[1] + rng.integers(0, 5, 4000)), np.ones(4000, np.float32))
+
+    def tree():
+        return GR.node_rows(GR.grow(rows, layout, np.random.default_rng(1), 5, 30, 1.0, 2), layout, 0, 0.0).to_pydict()
+
+    whole = tree()
+    for name, value in (("BLOCK", 3), ("CHUNK", 97), ("MAPPED", 1)):
+        monkeypatch.setattr(GR, name, value)
+    assert tree() == whole and len(whole["id"]) > 500
+    shallow = GR.grow(rows, layout, np.random.default_rng(1), 2, 4, 1.0, 100)
+    assert len(shallow) <= 5 and all((v["n"][v["split"]] >= 100).all() for v in shallow)
+
+
+def test_candidate_splits_cut_the_weight():
+    assert GR.candidates(np.array([3.0, 1.0, 1.0, 2.0]), np.ones(4), 256).tolist() == [1.5, 2.5]
+    cut = GR.candidates(np.arange(1000.0), np.ones(1000), 10)
+    assert len(cut) == 9 and np.allclose(np.diff(cut), 100, atol=2)
+
+
 def test_dashboard_forest_is_not_kept(spark, monkeypatch):
     from ecoframe.plans import registry as R
     df = spark.createDataFrame([(f"k{i}", *(float(i % (j + 2)) for j in range(len(R.DASHBOARD_FEATURES))), float(i % 2)) for i in range(40)],
