@@ -17,6 +17,7 @@ from ecoframe.operators import knn as KNN
 from ecoframe.operators import linear as LS
 from ecoframe.operators import models as MD
 from ecoframe.operators import monitor as MO
+from ecoframe.operators import walk as WK
 from ecoframe.session import scratch_path
 from ecoframe.sources import files as FS
 from ecoframe.streaming import feeds as ST
@@ -255,6 +256,20 @@ def test_candidate_splits_cut_the_weight():
     assert len(cut) == 9 and np.allclose(np.diff(cut), 100, atol=2)
 
 
+def test_walked_predictions_are_those_of_the_forest(spark):
+    df = _noisy_rows(spark, 400)
+    model = MD.fit_model(df, "rf_final", ["a", "b"], ["c"], "y", scale=False, numTrees=3)
+    more = df.unionByName(spark.createDataFrame([(-5.0, 99.0, "new", 0.0), (99.0, -5.0, None, 0.0)], df.schema)).withColumn("a b", F.lit("kept"))
+    want = sorted(map(str, model.transform(more).select("a b", "y", F.col("prediction").alias("y_pred")).collect()))
+    got = MD.predict(model, more, ["a b", "y"])
+    assert sorted(map(str, got.collect())) == want
+    assert "MapInArrow" in got._jdf.queryExecution().toString()
+    with pytest.raises(Exception):
+        MD.predict(model, df.withColumn("a", F.lit(None).cast("double")), ["y"]).collect()
+    scaled = MD.fit_model(df, "rf_final", ["a"], [], "y", numTrees=2)
+    assert WK.inputs(scaled) is None and MD.predict(scaled, df, ["a"]).count() == 400
+
+
 def test_dashboard_forest_is_not_kept(spark, monkeypatch):
     from ecoframe.plans import registry as R
     df = spark.createDataFrame([(f"k{i}", *(float(i % (j + 2)) for j in range(len(R.DASHBOARD_FEATURES))), float(i % 2)) for i in range(40)],
