@@ -107,6 +107,28 @@ def test_pages_with_source_names_many_lines_and_bad_values(spark):
     assert sorted((r.tbl, r.page) for r in ST.ingested(spark, sink).collect()) == [("A", 1), ("A", 1), ("A", 2)]
 
 
+def test_pages_are_joined_one_at_a_time(spark):
+    rows = [(2021 + i % 3 if i % 10 else None, f'"m{i}"\n', float(i) if i % 4 else None) for i in range(700)]
+    df = spark.createDataFrame(rows, "year int, mk string, fc double")
+    path = FS.write_pages(df, scratch_path(spark, "written"), order=["mk"], page_size=64, source_names=True)
+    text = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    pages = [json.loads(r.value)["results"] for r in text.collect()]
+    assert len(pages) == sum(-(-n // 64) for n in (70, 210, 210, 210)) and max(map(len, pages)) == 64
+    assert sorted(str((r.get("Year"), r["Mk"], r.get("Fc"))) for p in pages for r in p) == sorted(map(str, rows))
+    assert all([r["Mk"] for r in p] == sorted(r["Mk"] for r in p) for p in pages)
+    held = []
+    batch = FS.pa.RecordBatch.from_pydict({"tbl": [1] * 6, "page": [1, 1, 2, 2, 3, 3], "_first": [True, False] * 3, "_record": list("abcdef")})
+
+    def watched():
+        for i in range(0, 6, 2):
+            yield batch.slice(i, 2)
+            held.append(i)
+
+    out = FS._join_records(watched())
+    assert next(out).to_pylist() == [{"tbl": 1, "page": 1, "value": '{"results":[a,b]}'}] and held == [0]  # not after all were read
+    assert [r["value"] for b in out for r in b.to_pylist()] == ['{"results":[c,d]}', '{"results":[e,f]}']
+
+
 def test_metric_stream_whatever_the_file_order(spark):
     t0 = dt.datetime(2024, 1, 1)
     rows = [(i, "r2" if i % 2 else "rmse", t0 + dt.timedelta(seconds=i), float(i % 3)) for i in range(24)]
